@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -48,22 +49,38 @@ class Stage:
         self.made = 0
 
     def write(self, df: DataFrame, label: str = "t") -> DataFrame:
+        return self.write_by(df, label)
+
+    def write_by(self, df: DataFrame, label: str, *folders: str) -> DataFrame:
+        """folders: columns that get a folder for each value, so that a filter on them reads no other."""
         self.made += 1
         path = f"{self.root}/{self.made:03d}-{label}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*folders).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged_path = path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        """Remove tables, and let go of the shuffle files of finished steps, which live as long as the driver's objects."""
         for t in tables:
-            p = jvm.org.apache.hadoop.fs.Path(t._staged_path)
-            p.getFileSystem(conf).delete(p, True)
+            path, files = _path(self.spark, t._staged_path)
+            files.delete(path, True)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_bytes(table: DataFrame) -> int:
+    """The size of a staged table on disk."""
+    path, files = _path(table.sparkSession, table._staged_path)
+    return files.getContentSummary(path).getLength()
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], pa.RecordBatch | None], schema) -> DataFrame:
     """Apply fn to slices of Arrow batches given as Python lists; slices hold about 4 MB of text at most, and one row at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import documents
 
@@ -15,6 +16,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_duplicates import classes
+
+    return classes(documents(spark, sf_dir))
+
+
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import dedup
+
+    return dedup(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import judge
 
@@ -39,6 +52,6 @@ def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_quality_rules, op7_packing, op8_token_counts, op10_piece_tokens)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op7_packing, op8_token_counts, op10_piece_tokens)}
 
 ORACLE: dict[str, str] = {}
