@@ -12,6 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Stands in for a null doc_id where documents are ordered: after all others.
 LAST_ID = 2**63 - 1
@@ -92,6 +93,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], pa.RecordBatch |
                 if out is not None and out.num_rows:
                     yield out
 
+    if not isinstance(schema, str):
+        schema = StructType([StructField(f.name, f.dataType, True) for f in schema])
     return df.mapInArrow(run, schema)
 
 

@@ -34,6 +34,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .languages import identify
+
+    docs = documents(spark, sf_dir)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    told = identify(docs.select("doc_id", "text"), docs.where(F.coalesce(~held_out, F.lit(True))).select("text", "lang"))
+    return told.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", F.size("mixture").alias("n_languages"))
+
+
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_runs import dedup
+
+    out = dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -46,12 +62,20 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op9_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .graded_quality import grade_documents
+
+    # graded ratings: 0 is junk, 1 sound but toxic, 2 sound and clean
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    return grade_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", grade.alias("grade")))
+
+
 def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .piece_tokens import digests
 
     return digests(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op7_packing, op8_token_counts, op10_piece_tokens)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op5_languages, op6_line_runs, op7_packing, op8_token_counts, op9_graded_quality, op10_piece_tokens)}
 
 ORACLE: dict[str, str] = {}
