@@ -34,6 +34,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import nearest
+
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.pmod("vec_id", F.lit(100)) == 0, 10)
+
+
 def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .languages import identify
 
@@ -76,6 +82,6 @@ def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op5_languages, op6_line_runs, op7_packing, op8_token_counts, op9_graded_quality, op10_piece_tokens)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op4_neighbours, op5_languages, op6_line_runs, op7_packing, op8_token_counts, op9_graded_quality, op10_piece_tokens)}
 
 ORACLE: dict[str, str] = {}
