@@ -5,7 +5,7 @@
 * A navigable graph over the centroids, pruned by relative neighbourhood, lies in every task's
   memory; its size is bounded by most_lists.  A beam search on it finds centroids.
 * Every vector goes to its nearest list, and boundary vectors also to others
-  nearly as near, unless a chosen centroid stands between.
+  nearly as near, unless a chosen centroid is too close to theirs.
 * A query probes the lists whose centroid is no farther than a ratio of the
   nearest one's distance, and compares exactly with all vectors there.
 
@@ -142,7 +142,7 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, f"vec_id long, f1 long, f2 long, v {kind}")
 
 
-def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, replicas: int = 6, closure: float = 0.15, probes: int = 64, ratio: float = 0.6, sample: int = SAMPLE, beam: int = 96) -> DataFrame:
+def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, replicas: int = 5, closure: float = 0.25, ratio: float = 0.42, sample: int = SAMPLE, beam: int = 320) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k nearest found of each query, its own row excepted.
 
     vectors (vec_id, embedding); queries is a condition on vec_id that picks
@@ -150,6 +150,10 @@ def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, repli
     precision, ties to the smaller vec_id.  Vectors that are null, zero, hold
     null or non-finite components, have a null vec_id, or another length than most, take no part; rows
     that share a vec_id are one vector (the one with the smaller digest).
+
+    The defaults are set for vectors without any cluster structure, the worst
+    case: there 0.9 recall takes a third of all vectors.  Clustered vectors
+    have few centroids within the ratio, and far less is read.
     """
     spark = vectors.sparkSession
     stage = Stage(spark, "neighbours")
@@ -181,7 +185,7 @@ def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, repli
                     for j, d in zip(ids[i], dist[i], strict=True):
                         if len(chosen) == replicas or d > (1 + closure) * dist[i, 0]:
                             break
-                        if not chosen or all(((g.c[j] - g.c[c]) ** 2).sum() > d * d for c in chosen):
+                        if not chosen or all(((g.c[j] - g.c[c]) ** 2).sum() > 0.5 * d * d for c in chosen):
                             chosen.append(int(j))
                     take_row += [i] * len(chosen)
                     take_list += chosen
@@ -196,7 +200,6 @@ def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, repli
                 q = _matrix(b.column(1))
                 ids, dist = g.search(q, beam)
                 take = dist <= (1 + ratio) * dist[:, :1]
-                take[:, probes:] = False
                 rows, cols = np.nonzero(take & np.isfinite(dist))
                 own = b.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([own.column(0), pa.array(ids[rows, cols].astype(np.int32)), own.column(1)], ["node", "list", "v"])
