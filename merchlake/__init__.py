@@ -1,0 +1 @@
+"""Retail price analytics on Spark: landing, cleaning, mapping, history, alerts."""
