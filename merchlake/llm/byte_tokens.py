@@ -38,7 +38,7 @@ class ByteTokens:
 
         core = tiktoken.Encoding("words", pat_str=_UNITS, mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.unit, self.units = core.encode_single_piece, core.encode_ordinary
-        self.words = Recent(self._word, 400_000)
+        self.words = Recent(self._word, 150_000)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
