@@ -1,53 +1,97 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 P(grade <= j | text) = logistic(t_j - w.x), with one weight vector for all
-grades and ordered thresholds t_1 < t_2 < ...; x marks which of 2**18 hashed
-words a text has.  The expected grade and the probability of a
-grade or better follow from the same model, and the latter selects.
-
-The weights are fitted on a documented, bounded sample of the rated documents
-(``sample``, the first by a hash of doc_id).  Each step of L-BFGS is one pass of Spark
-over the sample's hashed words: the tasks add up the gradient, and the sums
-have the size of the model, whatever the sample's.  All documents are then
-scored in one pass.
+grades and ordered thresholds t_1 < t_2 < ...; x marks which hashed features a
+text has: its words without their marks, the first four and five letters of
+them, and the shapes of marks and capitals around them, in 2**18 bins.  The expected
+grade and the probability of a grade or better follow from the same model, and
+the latter selects.
+
+Bins whose share of a grade's documents differs from that grade's share by
+chance take no part: a bin needs ``least`` documents and a deviation of
+``screen`` standard errors.  The weights are fitted on a documented, bounded
+sample of the rated documents (``sample``, the first by a hash of doc_id).
+Each step of L-BFGS is one pass of Spark over the sample's features: the tasks
+add up the gradient, and the sums have the size of the model, whatever the
+sample's.  All documents are then scored in one pass.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, map_batches, word_hashes, word_list
+from .common import Recent, Stage, map_batches
 
 BITS = 18
 SAMPLE = 40_000
 
+#: Marks that do not belong to a word.
+_MARKS = ".,;:!?\"'()[]{}*#%&$|<>-_"
 
-def word_bins(text: str | None) -> np.ndarray:
-    """Bins of a text's words in lower case without the marks around them, each once."""
-    if not text:
-        return np.zeros(0, np.int32)
-    words = {w.strip(_MARKS) for w in word_list(text.lower())}
-    words.discard(b"")
-    return np.unique((word_hashes([*words]) >> np.uint64(64 - BITS)).astype(np.int32))
 
+def features(word: str) -> tuple[int, ...]:
+    """The bins of a word: what it is, how it begins, what shape it has."""
+    core = word.strip(_MARKS)
+    at = word.find(core) if core else len(word)
+    case = "U" if len(core) > 1 and core.isupper() else "T" if core[:1].isupper() else "l"
+    low = core.lower()
+    own = {f"s{word[:at]}{case}{word[at + len(core) :]}", *(f"p{low[:k]}" for k in (4, 5) if len(low) > k)}
+    if low:
+        own.add(f"w{low}")
+    return tuple(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) >> (64 - BITS) for x in own)
+
+
+def text_bins(text: str | None, known: dict[str, tuple[int, ...]]) -> np.ndarray:
+    """Bins of a text's words, each once."""
+    return np.unique(np.fromiter(chain.from_iterable(map(known.__getitem__, set(text.split()))), np.int32)) if text else np.zeros(0, np.int32)
 
-#: Marks that do not belong to a word.
-_MARKS = b".,;:!?\"'()[]{}*#%&$|<>-_"
+
+_known = Recent(features, 100_000)
 
 
 def hashed(docs: DataFrame, *names: str) -> DataFrame:
     """The named long columns, and bins, of every row."""
 
     def run(c: dict) -> pa.RecordBatch:
-        bins = [word_bins(t) for t in c["text"].to_pylist()]
+        bins = [text_bins(t, _known) for t in c["text"].to_pylist()]
         return pa.RecordBatch.from_arrays([*(c[n].cast(pa.int64()) for n in names), pa.array(bins, pa.list_(pa.int32()))], [*names, "bins"])
 
     return map_batches(docs.select(*names, "text"), run, "".join(f"{n} long, " for n in names) + "bins array<int>")
 
 
+def grade_counts(rated: DataFrame, grades: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents by grade, and by grade and bin. Tasks send their sums."""
+
+    def run(batches):
+        n, by = np.zeros(grades, np.int64), np.zeros((grades, 1 << BITS), np.int32)
+        for b in batches:
+            bins, row = _flat(b.column(1))
+            grade = b.column(0).to_numpy().astype(np.int64)
+            n += np.bincount(grade, minlength=grades)
+            np.add.at(by, (grade[row], bins), 1)
+        if n.any():
+            yield pa.RecordBatch.from_arrays([pa.array([n.tobytes()], pa.binary()), pa.array([by.tobytes()], pa.binary())], ["n", "bins"])
+
+    n, by = np.zeros(grades, np.int64), np.zeros((grades, 1 << BITS), np.int64)
+    for a, b in rated.select("grade", "bins").mapInArrow(run, "n binary, bins binary").toLocalIterator():
+        n += np.frombuffer(a, np.int64)
+        by += np.frombuffer(b, np.int32).reshape(grades, -1)
+    return n, by
+
+
+def telling(n: np.ndarray, by: np.ndarray, screen: float, least: int) -> np.ndarray:
+    """Which bins take part."""
+    total, share = by.sum(axis=0), n[:, None] / n.sum()
+    spread = np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
+    return (total >= least) & (total <= 0.5 * n.sum()) & ((np.abs(by - total * share) / spread).max(axis=0) >= screen)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
@@ -99,10 +143,17 @@ class Ordinal:
         return float(-np.log(p).sum()), grad
 
 
-def fit(rated: DataFrame, grades: int, l2: float = 1.0, steps: int = 30) -> Ordinal:
-    """The penalised maximum-likelihood model of rated (grade, bins), by L-BFGS with a pass over rated for each step."""
-    spark = rated.sparkSession
-    params = np.zeros((1 << BITS) + grades - 1)
+def fit(rated: DataFrame, n: np.ndarray, by: np.ndarray, l2: float = 1.0, steps: int = 40) -> Ordinal:
+    """The penalised maximum-likelihood model of rated (grade, bins), by L-BFGS with a pass over rated for each step.
+
+    n, by: documents by grade, and by grade and bin.
+    """
+    spark, grades = rated.sparkSession, len(n)
+    share = np.clip(np.cumsum(n / n.sum())[:-1], 1e-6, 1 - 1e-6)
+    start = np.log(share / (1 - share))
+    params = np.r_[np.zeros(1 << BITS), start[0], np.log(np.maximum(np.diff(start), 1e-3))]
+    # curvature by coordinate, roughly: the first metric of the search
+    metric = np.r_[1 / (l2 + 0.1 * by.sum(axis=0)), np.full(grades - 1, 10.0 / n.sum())]
 
     def value(x: np.ndarray) -> tuple[float, np.ndarray]:
         sent = spark.sparkContext.broadcast(x)
@@ -134,7 +185,7 @@ def fit(rated: DataFrame, grades: int, l2: float = 1.0, steps: int = 30) -> Ordi
         for s, y, rho in reversed(past):
             alphas.append(rho * (s @ q))
             q -= alphas[-1] * y
-        q *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1.0 / max(1.0, np.abs(g).max())
+        q *= metric * ((past[-1][0] @ past[-1][1]) / (past[-1][1] @ (metric * past[-1][1])) if past else 1.0)
         for (s, y, rho), a in zip(past, reversed(alphas), strict=True):
             q += (a - rho * (y @ q)) * s
         slope, size = float(g @ q), 1.0
@@ -148,13 +199,13 @@ def fit(rated: DataFrame, grades: int, l2: float = 1.0, steps: int = 30) -> Ordi
         done = f - nf <= 1e-5 * max(1.0, abs(f))
         params, f, g = new, nf, ng
         if s @ y > 1e-12:
-            past = [*past[-7:], (s, y, 1.0 / float(s @ y))]
+            past = [*past[-9:], (s, y, 1.0 / float(s @ y))]
         if done:
             break
     return Ordinal(params, grades)
 
 
-def grade_documents(docs: DataFrame, ratings: DataFrame, grade: str = "grade", sample: int = SAMPLE, l2: float = 1.0, at_least: int | None = None, level: float = 0.5) -> DataFrame:
+def grade_documents(docs: DataFrame, ratings: DataFrame, grade: str = "grade", sample: int = SAMPLE, l2: float = 1.0, screen: float = 10.0, least: int = 8, at_least: int | None = None, level: float = 0.5) -> DataFrame:
     """doc_id, expected_grade, tail_probability (of at_least, the best grade by default) and kept (it is level or more) for every row of docs.
 
     ratings (doc_id, grade: 0, 1, ...) may cover some of docs; null grades and
@@ -172,13 +223,26 @@ def grade_documents(docs: DataFrame, ratings: DataFrame, grade: str = "grade", s
     grades = (bins.agg(F.max("grade")).first()[0] or 0) + 1
     if grades < 2:
         return docs.select("doc_id", F.lit(0.0).alias("expected_grade"), F.lit(1.0).alias("tail_probability"), F.lit(True).alias("kept"))
-    model = fit(bins, grades, l2)
+    n, by = grade_counts(bins, grades)
+    mask = telling(n, by, screen, least)
+    sent_mask = docs.sparkSession.sparkContext.broadcast(mask)
+
+    def thin(c: dict) -> pa.RecordBatch:
+        own = [x[sent_mask.value[x]] for x in (v.values.to_numpy(zero_copy_only=False) for v in c["bins"])]
+        return pa.RecordBatch.from_arrays([c["grade"], pa.array(own, pa.list_(pa.int32()))], ["grade", "bins"])
+
+    small = stage.write(map_batches(bins, thin, "grade long, bins array<int>"), "screened")
+    model = fit(small, n, by * mask, l2)
     sent = docs.sparkSession.sparkContext.broadcast(model.params)
+    known: list[Recent] = []
+
     best = grades - 1 if at_least is None else at_least
 
     def run(c: dict) -> pa.RecordBatch:
         own = Ordinal(sent.value, grades)
-        found = [word_bins(t) for t in c["text"].to_pylist()]
+        if not known:  # words with the bins that take part, mostly none
+            known.append(Recent(lambda w: tuple(b for b in features(w) if sent_mask.value[b]), 200_000))
+        found = [text_bins(t, known[0]) for t in c["text"].to_pylist()]
         row = np.repeat(np.arange(len(found)), [len(x) for x in found])
         tails = own.tails(own.score(np.concatenate(found), row, len(found)))
         p = tails[:, best - 1] if best else np.ones(len(found))

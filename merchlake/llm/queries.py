@@ -71,8 +71,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_graded_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .graded_quality import grade_documents
 
-    # graded ratings: 0 is junk, 1 sound but toxic, 2 sound and clean
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    # graded ratings: 0 is toxic, 1 junk, 2 sound and clean
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     return grade_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", grade.alias("grade")))
 
 
