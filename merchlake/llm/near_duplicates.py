@@ -1,7 +1,9 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A document is its five-word shingles, weighted by how often they occur.  Two
-documents are near-duplicates if their probability Jaccard similarity
+A document is its five-word shingles, each with the weight 1 + ln(count): a
+shingle repeated a hundred times weighs more than one that occurs once, but
+does not drown the others.  Two documents are near-duplicates if their
+probability Jaccard similarity
 
     J_P(a, b) = sum over d in both of 1 / sum over all e of max(a_e / a_d, b_e / b_d)
 
@@ -49,11 +51,15 @@ def shingles(text: str | None, width: int = SHINGLE) -> tuple[np.ndarray, np.nda
     return np.unique(_grams.windows(word_hashes(words), min(width, len(words))), return_counts=True)
 
 
+def weigh(counts: np.ndarray) -> np.ndarray:
+    return 1.0 + np.log(counts)
+
+
 def prob_minhash(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, documents: int, registers: int) -> np.ndarray:
     """Registers (documents x registers) of the elements that arrive first; every document has an element."""
     times = np.full(documents * registers, np.inf)
     first = np.zeros(documents * registers, np.uint64)
-    e, w, d = elements, weights.astype(np.float64), owner
+    e, w, d = elements, weights, owner
     t = np.zeros(len(e))
     step = 0
     while len(e):
@@ -82,7 +88,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int =
         found: list = [None] * len(sets)
         if full:
             owner = np.repeat(np.arange(len(full)), [len(sets[i][0]) for i in full])
-            sig = prob_minhash(np.concatenate([sets[i][0] for i in full]), np.concatenate([sets[i][1] for i in full]), owner, len(full), bands * rows)
+            sig = prob_minhash(np.concatenate([sets[i][0] for i in full]), weigh(np.concatenate([sets[i][1] for i in full])), owner, len(full), bands * rows)
             with np.errstate(over="ignore"):
                 key = np.zeros((len(full), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
                 for k in range(rows):
@@ -101,15 +107,15 @@ def prob_jaccard(ea: np.ndarray, ca: np.ndarray, eb: np.ndarray, cb: np.ndarray)
     _, ia, ib = np.intersect1d(ea, eb, assume_unique=True, return_indices=True)
     if not len(ia):
         return 0.0
-    sa, sb = ca.sum(), cb.sum()
-    # whole numbers decide which side is larger: a_d / b_d against a_e / b_e
-    a, b = ca[ia] / sa, cb[ib] / sb
+    wa, wb = weigh(ca), weigh(cb)
+    sa, sb = wa.sum(), wb.sum()
+    a, b = wa[ia] / sa, wb[ib] / sb
     ratio = a / b
     order = np.argsort(ratio, kind="stable")
     a, b, ratio = a[order], b[order], ratio[order]
     low = np.searchsorted(ratio, ratio, "left")
-    below_b = np.r_[0.0, np.cumsum(b)][low] + (sb - cb[ib].sum()) / sb
-    above_a = a.sum() - np.r_[0.0, np.cumsum(a)][low] + (sa - ca[ia].sum()) / sa
+    below_b = np.r_[0.0, np.cumsum(b)][low] + (sb - wb[ib].sum()) / sb
+    above_a = a.sum() - np.r_[0.0, np.cumsum(a)][low] + (sa - wa[ia].sum()) / sa
     return float((1.0 / (above_a / a + below_b / b)).sum())
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .oracles import ORACLE
 
 
 def tokenizer_file(name: str) -> str:
@@ -53,7 +54,7 @@ def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_runs import dedup
 
     out = dedup(documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +85,4 @@ def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op4_neighbours, op5_languages, op6_line_runs, op7_packing, op8_token_counts, op9_graded_quality, op10_piece_tokens)}
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
