@@ -3,7 +3,8 @@
 * Fit: hierarchical k-means splits a bounded sample (``sample`` vectors, the first by a
   hash) until no cluster holds more than ``list_size`` of it or ``most_lists`` is reached.
 * A navigable graph over the centroids, pruned by relative neighbourhood, lies in every task's
-  memory; its size is bounded by most_lists.  A beam search on it finds centroids.
+  memory; its size is bounded by most_lists.  A beam search on it finds centroids;
+  a query whose beam ends within the ratio scans them all.
 * Every vector goes to its nearest list, and boundary vectors also to others
   nearly as near, unless a chosen centroid is too close to theirs.
 * A query probes the lists whose centroid is no farther than a ratio of the
@@ -120,6 +121,24 @@ class CentroidGraph:
             ids, dist, open_ = ids[every, best], dist[every, best], open_[every, best]
         return ids, dist
 
+    def within(self, q: np.ndarray, ratio: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Query and centroid of each pair that lies within 1 + ratio times the query's least distance.
+
+        Where the beam does not reach beyond that distance, all centroids are scanned.
+        """
+        ids, dist = self.search(q, beam)
+        last = dist[:, -1]
+        wide = ~(np.isfinite(last) & (last > (1 + ratio) * dist[:, 0]))
+        at, cols = np.nonzero((dist <= (1 + ratio) * dist[:, :1]) & ~wide[:, None])
+        rows, lists = [at], [ids[at, cols]]
+        for part in np.array_split(np.flatnonzero(wide), -(-int(wide.sum()) // 64) or 1):
+            if len(part):
+                d = np.sqrt(squared(q[part], self.c))
+                at, cols = np.nonzero(d <= (1 + ratio) * d.min(axis=1, keepdims=True))
+                rows.append(part[at])
+                lists.append(cols)
+        return np.concatenate(rows), np.concatenate(lists)
+
 
 def _usable(vectors: DataFrame) -> DataFrame:
     """vec_id, f1, f2 (digest of the vector), v: rows that take part."""
@@ -198,11 +217,10 @@ def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, repli
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)
                 q = _matrix(b.column(1))
-                ids, dist = g.search(q, beam)
-                take = dist <= (1 + ratio) * dist[:, :1]
-                rows, cols = np.nonzero(take & np.isfinite(dist))
-                own = b.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(ids[rows, cols].astype(np.int32)), own.column(1)], ["node", "list", "v"])
+                rows, lists = g.within(q, ratio, beam)
+                for k0 in range(0, len(rows), 16_384):
+                    own = b.take(pa.array(rows[k0 : k0 + 16_384]))
+                    yield pa.RecordBatch.from_arrays([own.column(0), pa.array(lists[k0 : k0 + 16_384].astype(np.int32)), own.column(1)], ["node", "list", "v"])
 
     kind = nodes.schema["v"].dataType.simpleString()
     postings = stage.write(nodes.select("node", "v").mapInArrow(assign, f"node long, list int, v {kind}"), "postings")

@@ -256,6 +256,26 @@ def test_blocks_of_hot_lists(spark, monkeypatch):
         assert np.argsort(d)[r["rank"] - 1] == r.vec_id
 
 
+def test_every_list_within_the_ratio_is_probed(spark):
+    x = np.random.default_rng(7).normal(size=(8000, 64))
+    c = neighbours.centroids(x, 12)
+    q = x[::400]
+    d = np.sqrt(((q[:, None] - c) ** 2).sum(2))
+    want = d <= 1.42 * d.min(1, keepdims=True)
+    many = np.flatnonzero(want.sum(1) > 320)  # the default beam
+    assert len(many) >= 10
+    found = np.zeros_like(want)
+    found[neighbours.CentroidGraph(c).within(q, 0.42, 320)] = True
+    assert (found[many] == want[many]).all()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(df, F.col("vec_id") % 400 == 0, list_size=12, replicas=1).collect():
+        got[r.query_id].add(r.vec_id)
+    hit = [len(got[i] & set(np.argsort(((x - x[i]) ** 2).sum(1))[1:11].tolist())) / 10 for i in range(0, 8000, 400)]
+    print("recall", np.mean(hit), "least", min(np.array(hit)[many]))
+    assert np.mean(np.array(hit)[many]) >= 0.97
+
+
 # --- languages ---------------------------------------------------------------------
 
 
