@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept, and returns a DataFrame that is written as Parquet and read again as the next one's docs.
 All but the last return the columns of documents; n_chars follows the text.
+A row with a null doc_id, or with the doc_id of another, is a document like any
+other; of rows equal in doc_id and text the quality and the near-dedup stage leave
+one, the other stages treat rows as they come.
 """
 
 from __future__ import annotations
@@ -22,11 +25,26 @@ def _with_text(docs: DataFrame, kept: str) -> DataFrame:
     return docs.where(F.col(kept).isNotNull()).withColumns({"n_chars": F.when(F.col(kept).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(kept).cast("long")), "text": F.col(kept)}).select(*COLUMNS)
 
 
+def _rows(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """The documents with row, a number of each row, and key, a digest of the text; written, so that the numbers stay."""
+    return Stage(spark, name).write(docs.select(*COLUMNS).withColumns({"row": F.monotonically_increasing_id(), "key": F.sha2("text", 256)}), "rows")
+
+
+def _one_each(rows: DataFrame) -> DataFrame:
+    """row: of rows equal in doc_id and text, null or not, the first by lang, source, n_chars."""
+    return rows.groupBy("doc_id", "key").agg(F.min(F.struct("lang", "source", "n_chars", "row")).alias("one")).select("one.row")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base or a rule with a controlled risk rejects go."""
-    judged = quality_rules.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    kept = judged.where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Documents that the base or a rule with a controlled risk rejects go.
+
+    Each row is judged for itself, also where its doc_id is null or another
+    row's too; of the kept rows that are equal in doc_id and text one stays.
+    """
+    rows = _rows(spark, docs, "quality")
+    judged = quality_rules.judge(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=("row",))
+    kept = _one_each(rows.drop("text").join(judged.where("kept").select("row"), "row", "left_semi"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +53,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
-    classes = near_duplicates.classes(docs)
-    return docs.join(classes.where("doc_id = class_id").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
+    """Of each group of near-duplicates the document with the smallest doc_id stays, one with a null doc_id only if no other has one.
+
+    Each row is a document of its own, also where its doc_id is null or another
+    row's too; of one doc_id the row with the smallest digest of its text stays.
+    Texts without words are in no group, but of rows equal in doc_id and text one stays.
+    """
+    rows = _rows(spark, docs, "near-rows")
+    classes = near_duplicates.classes(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "class_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "lang", "source", "n_chars", "row")
+    least = rows.drop("text").join(classes, "row").groupBy("class_id").agg(F.min(order).alias("one")).select("one.*")
+    return rows.join(_one_each(least), "row", "left_semi").select(*COLUMNS)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,11 +159,11 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, width: int = SHINGLE, rounds: int = 3) -> DataFrame:
-    """doc_id, class_id of every row: the smallest doc_id among the documents that links of the given similarity join to it.
+    """doc_id, class_id of every document: the smallest doc_id among the documents that links of the given similarity join to it.
 
     A text without words (or null) is a class of its own, as is a row with a
-    null doc_id (its class is null).  Rows that share a doc_id are one
-    document, with the smallest of their classes.  An empty table gives no rows; other columns are not read.
+    null doc_id (its class is null; each such row gives a row).  Rows that share a
+    doc_id are one document and give one row, with the smallest of their classes.  An empty table gives no rows; other columns are not read.
     """
     stage = Stage(docs.sparkSession, "near")
     found = stage.write(sketches(docs, bands, rows, width), "sketches")
@@ -209,4 +209,5 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     stage.drop(sets, held)
     named = nodes.join(label, "node", "left").select("f1", "f2", F.coalesce("class", "node").alias("class"))
     own = found.join(named, ["f1", "f2"], "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
-    return own.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    alone = own.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
+    return own.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("class_id")).unionByName(alone)

@@ -64,8 +64,8 @@ def repeated_words(words: list[bytes], width: int = 3) -> int:
     return int(covered.sum())
 
 
-def features(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum ("" for null) and counts of every row's whole text; a null text counts as empty."""
+def features(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, stratum ("" for null), counts of every row's whole text and its columns carry; a null text counts as empty."""
 
     def run(c: dict) -> pa.RecordBatch:
         rows = []
@@ -84,10 +84,10 @@ def features(docs: DataFrame, stratum: str = "lang") -> DataFrame:
             letters = _ascii_letters(joined)
             rows.append((len(words), len(joined) - _continuation(joined), sum(map(raw.count, _EACH)), dup, repeated_words(words), lines, *letters))
         cols = list(zip(*rows, strict=True)) if rows else [()] * len(COUNTS)
-        return pa.RecordBatch.from_arrays([c["doc_id"].cast(pa.int64()), c["stratum"].cast(pa.string()), *(pa.array(x, pa.int64()) for x in cols)], ["doc_id", "stratum", *COUNTS])
+        return pa.RecordBatch.from_arrays([c["doc_id"].cast(pa.int64()), c["stratum"].cast(pa.string()), *(pa.array(x, pa.int64()) for x in cols), *(c[x] for x in carry)], ["doc_id", "stratum", *COUNTS, *carry])
 
-    own = docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
-    return map_batches(own, run, "doc_id long, stratum string, " + ", ".join(f"{x} long" for x in COUNTS))
+    own = docs.select("doc_id", "text", *carry, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
+    return map_batches(own, run, "doc_id long, stratum string, " + ", ".join([f"{x} long" for x in COUNTS] + [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema]))
 
 
 _EACH = [bytes([b]) for b in _SYMBOLS]
@@ -166,17 +166,17 @@ def thresholds(calibration: DataFrame, alpha: float = 0.03, delta: float = 0.05)
 FEW_STRATA = 20_000
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.03, delta: float = 0.05, stratum: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.03, delta: float = 0.05, stratum: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """The counts of every row of docs, base_failed, and kept: neither the base nor a rule of its stratum rejects it.
 
     labels (doc_id, quality: 1 is good, 0 bad) is the holdout; null labels, labels
     of absent documents and of those that fail the base take no part.  A
     null stratum is a stratum of its own.  Repeated rows are judged alike,
-    each in its own row; other columns are not read; an empty table gives no
+    each in its own row; other columns are not read, but those of carry are passed on; an empty table gives no
     rows.
     """
     stage = Stage(docs.sparkSession, "quality")
-    rows = stage.write(features(docs, stratum).withColumn("base_failed", base_failed()), "counts")
+    rows = stage.write(features(docs, stratum, carry).withColumn("base_failed", base_failed()), "counts")
     found = signals()
     labelled = (
         rows.where(~F.col("base_failed"))
@@ -191,5 +191,5 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.03, delta: float
     return (
         rows.join(F.broadcast(cutoffs.toDF("stratum", *(f"cutoff_{r}" for r in RULES))) if few else cutoffs.toDF("stratum", *(f"cutoff_{r}" for r in RULES)), "stratum", "left")
         .withColumn("kept", ~F.col("base_failed") & ~rejected)
-        .select("doc_id", *COUNTS[:5], "base_failed", "kept")
+        .select("doc_id", *COUNTS[:5], "base_failed", "kept", *carry)
     )

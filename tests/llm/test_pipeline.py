@@ -48,3 +48,43 @@ def test_run_equals_the_stages(spark, staged):
         return sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
 
     assert key(corpus_pipeline.run(spark, DATA)) == key(staged[-1])
+
+
+def odd(spark, rows):
+    return spark.createDataFrame([(i, t, "en", source, len(t or "")) for i, t, source in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def text(name, n=80):
+    return " ".join(f"{name}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n))
+
+
+def held(df):
+    return collections.Counter((r.doc_id, r.text) for r in df.collect())
+
+
+def test_quality_of_null_and_repeated_ids(spark):
+    a, b, c = text("a"), text("b"), text("c")
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "y"), (1, c, "x"), (1, "too short", "x"), (2, a, "x"), (2, a, "x"), (None, "short", "x"), (3, None, "x")]
+    assert held(corpus_pipeline.quality(spark, odd(spark, rows), DATA)) == {(None, a): 1, (None, b): 1, (1, c): 1, (2, a): 1}
+
+
+def test_near_of_null_and_repeated_ids(spark):
+    a, b, c, d, e = map(text, "abcde")
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "x"), (1, c, "x"), (1, d, "x"), (2, d + " tail", "x"), (3, e, "x"), (3, e, "y"), (None, e, "x"), (4, "", "x"), (4, "", "x"), (5, None, "x"), (None, None, "x"), (None, None, "x")]
+    want = {(None, a): 1, (None, b): 1, (1, c): 1, (1, d): 1, (3, e): 1, (4, ""): 1, (5, None): 1, (None, None): 1}
+    assert held(corpus_pipeline.near(spark, odd(spark, rows), DATA)) == want
+
+
+def test_classes_of_null_ids(spark):
+    from merchlake.llm import near_duplicates
+
+    rows = [(None, text("a"), "x"), (None, text("b"), "x"), (1, text("a"), "x")]
+    assert sorted(map(str, (tuple(r) for r in near_duplicates.classes(odd(spark, rows)).collect()))) == ["(1, 1)", "(None, None)", "(None, None)"]
+
+
+def test_other_stages_keep_null_and_repeated_ids(spark):
+    a, b, c = text("a"), text("b"), text("c")
+    docs = odd(spark, [(None, a, "x"), (None, b, "x"), (1, c, "x"), (1, text("d"), "x")])
+    want = held(docs)
+    assert held(corpus_pipeline.lines(spark, docs, DATA)) == want and held(corpus_pipeline.passages(spark, docs, DATA)) == want
+    assert collections.Counter(r.doc_id for r in corpus_pipeline.packed(spark, docs, DATA).where("piece = 0").collect()) == {None: 2, 1: 2}
