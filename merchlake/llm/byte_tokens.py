@@ -3,8 +3,8 @@
 A byte-level tokenizer never merges across the start of a word that follows a
 single space or a line feed, so a text is the concatenation of its words'
 ids.  Words repeat; their ids are looked up, and only new words are encoded,
-with the merges of the same vocabulary.  Texts with any other white space go
-to ``tokenizers`` whole.
+with the merges of the same vocabulary.  Texts with any other white space, and
+those that hold an added token such as ``<|endoftext|>``, go to ``tokenizers`` whole.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ class ByteTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = re.compile("|".join(map(re.escape, self.special)) or r"(?!)")
         byte = {c: b for b, c in enumerate(_printable())}
         ranks = {bytes(map(byte.__getitem__, piece)): i for piece, i in self.tokenizer.get_vocab().items() if piece not in self.special}
         import tiktoken
@@ -54,7 +54,7 @@ class ByteTokens:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if "\x00" in text or _ODD_SPACE.search(text):
+        if "\x00" in text or _ODD_SPACE.search(text) or self.added.search(text):
             return self._whole(text)
         # "a b\nc d" falls into "a", " b", "\n", "c", " d"
         return b"".join(map(self.words.__getitem__, text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")))

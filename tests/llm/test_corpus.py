@@ -448,6 +448,18 @@ def test_byte_tokens_equal_the_library(texts):
         assert own.ids(t) == np.array(own.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_added_tokens_are_recognised(spark):
+    lib, own = Tokenizer.from_file(BYTES), ByteTokens(BYTES)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n<|endoftext|>y", "<|endoftext", *random_texts(500)]
+    for t in texts:
+        assert own.ids(t) == np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert lib.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    df = frame(spark, [(1, "a <|endoftext|> b\nc", "en")])
+    assert [r.n_tokens for r in token_counts.token_counts(df, BYTES).orderBy("section").collect()] == [5, 1]
+    (r,) = packing.pack(df, BYTES).collect()
+    assert r.ids_crc32 == zlib.crc32(np.array([*lib.encode("a <|endoftext|> b\nc", add_special_tokens=False).ids, 2], "<u4").tobytes())
+
+
 def test_piece_tokens_equal_the_library(texts):
     own = piece_tokens.PieceTokens(PIECES)
     lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
