@@ -3,9 +3,10 @@
 Every language is a distribution over letter trigrams, learned from labelled
 documents.  A document is a mixture: each of its trigrams comes from one of
 the languages, with proportions that expectation-maximisation estimates.
-Nested language sets (the best one, two, ... by proportion) are fitted and the
+Nested language sets (the best one, two, ... by proportion, up to all) are fitted and the
 set with the best penalised likelihood is kept: a further language must gain
-more than ``penalty`` times half the logarithm of the number of trigrams.
+more than ``penalty`` times half the logarithm of the number of trigrams.  Sets
+grow until a bound shows that no larger one can pay its penalty.
 
 Trigrams of lower-case letters, words edged by a blank, fall into 2**16 bins.
 All documents of a batch are fitted together on flat arrays.
@@ -105,6 +106,19 @@ class Mixture:
             pi = np.add.reduceat(r, start, axis=0) / total
         return pi
 
+    def bound(self, p: np.ndarray, n: np.ndarray, start: np.ndarray, owner: np.ndarray, pi: np.ndarray) -> np.ndarray:
+        """Log-likelihoods that no mixture exceeds.
+
+        By Jensen's inequality the best mixture gains at most N log(max over
+        languages of the mean of n p / m), m being the likelihoods under pi.
+        """
+        m = np.maximum((p * pi[owner]).sum(axis=1), 1e-30)
+        total = np.add.reduceat(n, start)
+        gain = np.add.reduceat(p * (n / m)[:, None], start, axis=0).max(axis=1) / total
+        like = np.add.reduceat(n * np.log(m), start).astype(np.float64)
+        most = like + total * np.log(np.maximum(gain, 1.0))
+        return most + 1e-4 * (np.abs(most) + 1)  # single precision
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, float]]]]:
         """Language, its proportion, and the whole set with proportions, for each text."""
         out: list = [(UNKNOWN, 0.0, [])] * len(texts)
@@ -128,17 +142,29 @@ class Mixture:
         rank = np.argsort(-pi, axis=1, kind="stable")
         cost = self.penalty * 0.5 * np.log(np.add.reduceat(n, start))
         best, chosen = np.full(len(own), -np.inf), np.zeros_like(pi)
-        rows = np.arange(len(own))
-        for size in range(1, min(k, 4) + 1):
-            part = np.zeros_like(pi)
+        most = self.bound(p, n, start, owner, pi)
+        live = np.arange(len(own))  # documents that a further language may still pay for
+        for size in range(1, k + 1):
+            open_ = most[live] - cost[live] * (size - 1) > best[live]
+            if not open_.any():
+                break
+            if not open_.all():
+                held = open_[owner]
+                live, p, n = live[open_], p[held], n[held]
+                sizes = sizes[open_]
+                start = np.r_[0, np.cumsum(sizes)[:-1]]
+                owner = np.repeat(np.arange(len(live)), sizes)
+            rows = np.arange(len(live))
+            part = np.zeros((len(live), k), pi.dtype)
             for j in range(size):
-                part[rows, rank[:, j]] = np.maximum(pi[rows, rank[:, j]], 1e-6)
+                at = rank[live, j]
+                part[rows, at] = np.maximum(pi[live, at], 1e-6)
             part /= part.sum(axis=1, keepdims=True)
             if size > 1:
                 part = self.fit(p, n, start, owner, part, 3)
-            like = np.add.reduceat(n * np.log(np.maximum((p * part[owner]).sum(axis=1), 1e-30)), start) - cost * (size - 1)
-            better = like > best
-            best[better], chosen[better] = like[better], part[better]
+            like = np.add.reduceat(n * np.log(np.maximum((p * part[owner]).sum(axis=1), 1e-30)), start) - cost[live] * (size - 1)
+            better = like > best[live]
+            best[live[better]], chosen[live[better]] = like[better], part[better]
         for i, x in zip(own, chosen, strict=True):
             shares = sorted(((float(v), j) for j, v in enumerate(x) if v > 0), key=lambda v: (-v[0], v[1]))
             out[i] = (self.names[shares[0][1]], min(1.0, shares[0][0]), [(self.names[j], v) for v, j in shares])

@@ -298,6 +298,18 @@ def test_mixture_of_two_languages(spark, docs, texts):
     assert set(shares) >= {"de", "en"} and abs(shares["de"] - 0.5) < 0.15
 
 
+def test_mixture_of_six_languages(spark):
+    rng = random.Random(12)
+    tongues = {f"l{i}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(80)] for i in range(8)}
+    said = lambda x, n: " ".join(rng.choice(tongues[x]) for _ in range(n))
+    training = frame(spark, [(i, said(x, 2000), x) for i, x in enumerate(tongues)])
+    six = [f"l{i}" for i in (0, 2, 3, 5, 6, 7)]
+    rows = [(1, "\n".join(said(x, 300) for x in six), None), (2, said("l4", 300), None), (3, said("l1", 200) + " " + said("l2", 200), None)]
+    got = {r.doc_id: {m.lang: m.share for m in r.mixture} for r in languages.identify(frame(spark, rows), training).collect()}
+    assert set(got[1]) == set(six) and all(abs(v - 1 / 6) < 0.05 for v in got[1].values())
+    assert set(got[2]) == {"l4"} and set(got[3]) == {"l1", "l2"}
+
+
 # --- lines -----------------------------------------------------------------------
 
 
