@@ -127,6 +127,56 @@ def test_classes_of_a_chain_and_a_crowd(spark):
     assert {r.class_id for r in got} == {0} and len(got) == 140
 
 
+def test_classes_of_one_crowd_of_many_classes(spark, monkeypatch):
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(100)]
+    words_of = []
+    for _ in range(20):  # templates that differ in some words, some of them shared by several templates
+        own = list(base)
+        for at in rng.sample(range(100), 7):
+            own[at] = f"t{at}x{rng.randrange(4)}"
+        for _ in range(40):
+            t = list(own)
+            for at in rng.sample(range(100), rng.randint(0, 3)):
+                t[at] = f"e{rng.randrange(10**6)}"
+            words_of.append(t)
+    order = rng.sample(range(len(words_of)), len(words_of))
+    rows = [(i, " ".join(words_of[j]), "en") for i, j in enumerate(order)]
+    sets = [{tuple(words(t)[k : k + 5]) for k in range(96)} for _, t, _ in rows]
+    vocabulary = {g: i for i, g in enumerate({g for s in sets for g in s})}
+    m = np.zeros((len(rows), len(vocabulary)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [vocabulary[g] for g in s]] = 1
+    both = m @ m.T
+    linked = both / (m.sum(1)[:, None] + m.sum(1) - both) >= 0.8
+    want = np.arange(len(rows))
+    for _ in range(len(rows)):
+        new = np.where(linked, want, len(rows)).min(1)
+        if (new == want).all():
+            break
+        want = new
+    compared = []
+    compare = near_duplicates._compare
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(near_duplicates, "_compare", counted)
+    got = {r.doc_id: r.class_id for r in near_duplicates.classes(frame(spark, rows)).collect()}
+    assert got == dict(enumerate(want.tolist())) and len(set(got.values())) > 10
+    assert sum(compared) < len(rows) * len(rows) / 10, compared
+
+
+def test_differing_bits_never_exceed_differing_shingles():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 800)).astype(np.uint64))
+        b = np.r_[a[: rng.integers(0, len(a) + 1)], rng.integers(0, 2**63, rng.integers(0, 300)).astype(np.uint64)]
+        bits = int(np.bitwise_count((near_duplicates.bitmap(a) ^ near_duplicates.bitmap(b)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(a, b))
+
+
 def test_classes_of_awkward_rows(awkward, nothing):
     got = {r.doc_id: r.class_id for r in near_duplicates.classes(awkward).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10, None: None}
