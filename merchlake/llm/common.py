@@ -161,13 +161,20 @@ class Grams:
 
 
 class Recent(dict):
-    """Values made on first use.  Two generations of at most ``limit`` entries bound the memory and keep what is used often."""
+    """Values made on first use.
 
-    def __init__(self, make: Callable, limit: int):
+    Two generations of at most ``limit`` entries keep what is used often.  Strings of
+    more than ``longest`` characters are made anew each time, so that keys
+    and what is made of them have bounded sizes, and with them the memory.
+    """
+
+    def __init__(self, make: Callable, limit: int, longest: int = 64):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 
     def __missing__(self, key):
+        if isinstance(key, str) and len(key) > self.longest:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
@@ -176,8 +183,3 @@ class Recent(dict):
             self.clear()
         self[key] = value
         return value
-
-
-def row_key(id_col: str = "doc_id", text_col: str = "text"):
-    """Tells rows apart that share a doc_id but not a text."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))

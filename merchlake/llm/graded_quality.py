@@ -10,7 +10,8 @@ the latter selects.
 Bins whose share of a grade's documents differs from that grade's share by
 chance take no part: a bin needs ``least`` documents and a deviation of
 ``screen`` standard errors.  The weights are fitted on a documented, bounded
-sample of the rated documents (``sample``, the first by a hash of doc_id).
+sample of the rated documents (``sample`` at most, the first by a hash of doc_id), which is
+chosen on ids and grades alone.
 Each step of L-BFGS is one pass of Spark over the sample's features: the tasks
 add up the gradient, and the sums have the size of the model, whatever the
 sample's.  All documents are then scored in one pass.
@@ -27,9 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Recent, Stage, map_batches
+from .substrings import small_side
 
 BITS = 18
 SAMPLE = 40_000
+#: Grades are 0 to one less than this.
+MOST_GRADES = 32
 
 #: Marks that do not belong to a word.
 _MARKS = ".,;:!?\"'()[]{}*#%&$|<>-_"
@@ -76,12 +80,14 @@ def grade_counts(rated: DataFrame, grades: int) -> tuple[np.ndarray, np.ndarray]
             n += np.bincount(grade, minlength=grades)
             np.add.at(by, (grade[row], bins), 1)
         if n.any():
-            yield pa.RecordBatch.from_arrays([pa.array([n.tobytes()], pa.binary()), pa.array([by.tobytes()], pa.binary())], ["n", "bins"])
+            at = np.flatnonzero(by)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (n, at.astype("<i4"), by.ravel()[at])], ["n", "at", "bins"])
 
-    n, by = np.zeros(grades, np.int64), np.zeros((grades, 1 << BITS), np.int64)
-    for a, b in rated.select("grade", "bins").mapInArrow(run, "n binary, bins binary").toLocalIterator():
+    n, by = np.zeros(grades, np.int64), np.zeros(grades << BITS, np.int64)
+    for a, at, b in rated.select("grade", "bins").mapInArrow(run, "n binary, at binary, bins binary").toLocalIterator():
         n += np.frombuffer(a, np.int64)
-        by += np.frombuffer(b, np.int32).reshape(grades, -1)
+        by[np.frombuffer(at, "<i4")] += np.frombuffer(b, np.int32)
+    by = by.reshape(grades, -1)
     return n, by
 
 
@@ -89,7 +95,7 @@ def telling(n: np.ndarray, by: np.ndarray, screen: float, least: int) -> np.ndar
     """Which bins take part."""
     total, share = by.sum(axis=0), n[:, None] / n.sum()
     spread = np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
-    return (total >= least) & (total <= 0.5 * n.sum()) & ((np.abs(by - total * share) / spread).max(axis=0) >= screen)
+    return (total >= least) & ((np.abs(by - total * share) / spread).max(axis=0) >= screen)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -208,18 +214,24 @@ def fit(rated: DataFrame, n: np.ndarray, by: np.ndarray, l2: float = 1.0, steps:
 def grade_documents(docs: DataFrame, ratings: DataFrame, grade: str = "grade", sample: int = SAMPLE, l2: float = 1.0, screen: float = 10.0, least: int = 8, at_least: int | None = None, level: float = 0.5) -> DataFrame:
     """doc_id, expected_grade, tail_probability (of at_least, the best grade by default) and kept (it is level or more) for every row of docs.
 
-    ratings (doc_id, grade: 0, 1, ...) may cover some of docs; null grades and
-    grades of absent or null documents teach nothing.  Without ratings, or with one grade only, every document has
+    ratings (doc_id, grade: 0, 1, ...) may cover some of docs; grades that are null,
+    negative or MOST_GRADES and more, those of absent or null documents, and those of a
+    doc_id that several rows share (which one was rated is open) teach nothing.  Without ratings, or with one grade only, every document has
     that grade (0).  A null or empty text is scored without
     any word.  Repeated rows are scored alike; other columns are not read.
     """
     stage = Stage(docs.sparkSession, "grades")
-    rated = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).join(ratings.where(F.col(grade).isNotNull()).select("doc_id", F.col(grade).cast("long").alias("grade")), "doc_id")
-    # a bound on the hash that keeps about `sample` rows, then the bound itself
-    n = rated.count()
-    part = rated.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < int(1.1 * sample / max(n, 1) * (1 << 20)) + 1) if n > sample else rated
-    part = part.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample) if n > sample else part
-    bins = stage.write(hashed(part, "grade"), "rated")
+    given = ratings.where((F.col(grade) >= 0) & (F.col(grade) < MOST_GRADES) & F.col("doc_id").isNotNull()).select("doc_id", F.col(grade).cast("long").alias("grade"))
+    once = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n = 1")
+    rated = stage.write(given.join(once.select("doc_id"), "doc_id"), "ratings")
+    # the part of the hashes that holds at most `sample` rows, found by a histogram; no text takes part
+    n, place, parts = rated.count(), F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 50)) / float(1 << 50), 4096
+    if n > sample:
+        width = min(1.0, 1.1 * sample / n) / parts
+        counts = dict(rated.where(place < width * parts).groupBy(F.floor(place / width).alias("part")).count().collect())  # 4096 rows at most
+        kept = int(np.searchsorted(np.cumsum([counts.get(i, 0) for i in range(parts)]), sample, "right"))
+        rated = stage.write(rated.where(F.floor(place / width) < kept), "sample")
+    bins = stage.write(hashed(docs.select("doc_id", "text").join(small_side(rated), "doc_id"), "grade"), "rated")
     grades = (bins.agg(F.max("grade")).first()[0] or 0) + 1
     if grades < 2:
         return docs.select("doc_id", F.lit(0.0).alias("expected_grade"), F.lit(1.0).alias("tail_probability"), F.lit(True).alias("kept"))

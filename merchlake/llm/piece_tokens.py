@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,31 +48,40 @@ class PieceTokens:
                 self.rank[piece] = model.get_score(i)
                 self.id[piece] = i
                 self.raw[i] = piece.replace(MARK, " ").encode()
+        self.most = max(map(len, self.id))
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("the vocabulary has pieces that cross a word's start")
         self.pairs = Recent(self._compatible, 250_000)
         self.words = Recent(self._word, 200_000)
         self.told = Recent(self._tell, 250_000)
         self.find = ahocorasick.Automaton()
-        self.most = max(map(len, self.id))
         self.candidates = {p for p in self.id if len(p) == 1 or self.merge(p) == [p]}  # merging never makes the others
         for piece in self.candidates:
             self.find.add_word(piece, len(piece))
         self.find.make_automaton()
 
     def merge(self, text: str) -> list[str]:
-        """The definition: merge the best-ranked pair, the leftmost among equals, until none is left."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = self.rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r > best):
-                    best, at = r, i
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        """The definition: merge the best-ranked pair, the leftmost among equals, until none is left.
+
+        Pairs wait in a heap, so the time is n log n; a pair whose parts have
+        changed since is passed over.
+        """
+        n, rank, most = len(text), self.rank.get, self.most
+        end = list(range(1, n + 1))  # of the part that starts here; 0: none does
+        start = list(range(-1, n))  # of the part that ends here
+        heap = [(-r, i, i + 2) for i in range(n - 1) if (r := rank(text[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, e = heappop(heap)
+            j = end[i]
+            if not j or j == n or end[j] != e:
+                continue
+            end[i], end[j], start[e] = e, 0, i
+            if i and e - (h := start[i]) <= most and (r := rank(text[h:e])) is not None:
+                heappush(heap, (-r, h, e))
+            if e < n and (f := end[e]) - i <= most and (r := rank(text[i:f])) is not None:
+                heappush(heap, (-r, i, f))
+        return [text[i:e] for i, e in enumerate(end) if e]
 
     def _compatible(self, pair: tuple[str, str]) -> bool:
         return self.merge(pair[0] + pair[1]) == [*pair]
@@ -93,13 +103,13 @@ class PieceTokens:
             p = q
         if p == n:
             return out
-        failed = 0  # bit p: no way leads on from position p
+        failed = bytearray(n // 8 + 1)  # bit p: no way leads on from position p
         top = p + self._longest(word, p)
         while p < n:
             q = top
             while q > p:
                 piece = word[p:q]
-                if piece in self.candidates and not failed >> q & 1 and (not out or pairs[out[-1], piece]):
+                if piece in self.candidates and not failed[q >> 3] >> (q & 7) & 1 and (not out or pairs[out[-1], piece]):
                     break
                 q -= 1
             if q > p:
@@ -107,7 +117,7 @@ class PieceTokens:
                 p = q
                 top = p + self._longest(word, p)
             else:
-                failed |= 1 << p
+                failed[p >> 3] |= 1 << (p & 7)
                 if not out:
                     return None
                 top = p - 1

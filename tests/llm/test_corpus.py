@@ -532,6 +532,17 @@ def test_piece_tokens_equal_the_library(texts):
         assert own.digest(t) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(lib.decode(ids).encode()).hexdigest())
 
 
+def test_piece_tokens_of_long_runs():
+    own = piece_tokens.PieceTokens(PIECES)
+    lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(4)
+    letters, signs = ("".join(rng.choice(x) for _ in range(50_000)) for x in ("etaoinshr", [chr(c) for c in range(0x4E00, 0x4F00)]))
+    for t in (" " * 100_000, "  " + letters, letters, "  " + signs, "=" * 20_000, "a" + " " * 5000 + "b", "-- " * 3000):
+        ids = lib.encode(t)
+        assert own.encode(t) == ids and own.decode(ids) == lib.decode(ids)
+    assert all(len(k) <= 64 for cache in (own.words, own.told) for k in cache)
+
+
 def test_piece_queries(docs, awkward, nothing):
     lib = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     for r in piece_tokens.encode(awkward, PIECES).collect():
@@ -602,3 +613,50 @@ def test_grades(spark, nothing, awkward):
     assert graded_quality.grade_documents(nothing, ratings).count() == 0
     assert all(r.kept for r in graded_quality.grade_documents(awkward, ratings.limit(0)).collect())
     assert len(graded_quality.grade_documents(awkward, ratings).collect()) == len(AWKWARD)
+    # grades out of range, null grades and those of a doc_id that several rows share teach nothing
+    odd = ratings.unionByName(spark.createDataFrame([(1, -1), (2, None), (3, 10**6), (None, 1)], ratings.schema))
+    key = lambda x: sorted((r.doc_id, round(r.expected_grade, 9)) for r in x.collect())
+    assert key(graded_quality.grade_documents(df, odd)) == key(graded_quality.grade_documents(df, ratings))
+    twice = df.unionByName(df.where("doc_id < 300"))
+    assert key(graded_quality.grade_documents(twice, ratings).distinct()) == key(graded_quality.grade_documents(df, ratings.where("doc_id >= 300")))
+
+
+def test_the_sample_of_ratings_is_bounded(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, f"{'good' if i % 4 else 'bad'} " + " ".join(f"w{rng.randrange(50)}" for _ in range(12)), "en") for i in range(3000)]
+    ratings = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(3000)], "doc_id long, grade long")
+    taught = []
+    count = graded_quality.grade_counts
+
+    def counted(rated, grades):
+        taught.append(rated.count())
+        return count(rated, grades)
+
+    monkeypatch.setattr(graded_quality, "grade_counts", counted)
+    out = graded_quality.grade_documents(frame(spark, rows), ratings, sample=1000).collect()
+    assert 900 < taught[0] <= 1000
+    # the mark of the grade that holds most rows is learned too
+    assert np.mean([r.kept == (r.doc_id % 4 > 0) for r in out]) > 0.99
+
+
+def test_fit_equals_a_plain_newton_search(spark):
+    rng = np.random.default_rng(6)
+    x = rng.random((300, 4)) < 0.4
+    grade = np.clip(np.round(x @ [1.2, -0.8, 0.5, 0.0] + rng.normal(size=300) + 0.7), 0, 2).astype(int)
+    df = spark.createDataFrame([(int(g), np.flatnonzero(r).tolist()) for g, r in zip(grade, x, strict=True)], "grade long, bins array<int>").repartition(3)
+    n, by = graded_quality.grade_counts(df, 3)
+    assert n.tolist() == np.bincount(grade, minlength=3).tolist() and by[:, :4].tolist() == [x[grade == g].sum(0).tolist() for g in range(3)]
+    got = graded_quality.fit(df, n, by, l2=1.0, steps=200)
+
+    def loss(p):  # weights, first threshold, second threshold
+        s = x @ p[:4]
+        low = 1 / (1 + np.exp(-(np.array([p[4], p[5]]) - s[:, None])))
+        prob = np.column_stack([low[:, 0], low[:, 1] - low[:, 0], 1 - low[:, 1]])[np.arange(300), grade]
+        return 0.5 * (p[:4] ** 2).sum() - np.log(prob).sum()
+
+    p, e = np.array([0, 0, 0, 0, -0.5, 0.5]), 1e-4 * np.eye(6)
+    for _ in range(30):
+        g = np.array([(loss(p + d) - loss(p - d)) / 2e-4 for d in e])
+        h = np.array([[(loss(p + a + b) - loss(p + a - b) - loss(p - a + b) + loss(p - a - b)) / 4e-8 for b in e] for a in e])
+        p = p - np.linalg.solve(h, g)
+    assert got.weights[:4] == pytest.approx(p[:4], abs=0.02) and got.thresholds == pytest.approx(p[4:], abs=0.02)
