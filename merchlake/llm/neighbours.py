@@ -8,7 +8,9 @@
 * Every vector goes to its nearest list, and boundary vectors also to others
   nearly as near, unless a chosen centroid is too close to theirs.
 * A query probes the lists whose centroid is no farther than a ratio of the
-  nearest one's distance, and compares exactly with all vectors there.
+  nearest one's distance, and compares exactly with all vectors there.  The ratio
+  is fitted: on the sample, it finds the share ``recall`` of the true neighbours, so
+  clustered vectors are read in small part and others as far as they need it.
 
 Lists that grow beyond a block are dealt over blocks, and their queries too,
 so a group has a bounded size.  Equal vectors are one node: of a node only the
@@ -27,7 +29,9 @@ from .common import Stage
 
 SAMPLE = 20_000
 MOST_LISTS = 4096
-BLOCK = 4096
+BLOCK = 1024
+#: Vectors of the sample that ask when the ratio is fitted.
+TRIALS = 256
 
 
 def _matrix(column) -> np.ndarray:
@@ -140,6 +144,41 @@ class CentroidGraph:
         return np.concatenate(rows), np.concatenate(lists)
 
 
+def replicate(g: CentroidGraph, v: np.ndarray, replicas: int, closure: float, beam: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """Row and list of each posting: a vector's nearest list, and others nearly as near that no chosen list's centroid is nearer to."""
+    ids, dist = g.search(v, beam)
+    rows, lists = [], []
+    for i in range(len(v)):
+        chosen: list[int] = []
+        for j, d in zip(ids[i], dist[i], strict=True):
+            if len(chosen) == replicas or d > (1 + closure) * dist[i, 0]:
+                break
+            if not chosen or all(((g.c[j] - g.c[c]) ** 2).sum() > d * d for c in chosen):
+                chosen.append(int(j))
+        rows += [i] * len(chosen)
+        lists += chosen
+    return np.array(rows, np.int64), np.array(lists, np.int32)
+
+
+def fitted_ratio(g: CentroidGraph, x: np.ndarray, k: int, recall: float, replicas: int, closure: float, trials: int = TRIALS) -> float:
+    """The least ratio at which the lists within it hold the share recall of the sample's true neighbours of some of its vectors."""
+    if len(x) < 2:
+        return 0.0
+    needed = []
+    for q in np.array_split(x[:: max(1, len(x) // trials)][:trials], 8):
+        if not len(q):
+            continue
+        near = np.argsort(squared(q, x), axis=1)[:, 1 : k + 1]
+        rows, lists = replicate(g, x[near.ravel()], replicas, closure)
+        far = np.sqrt(squared(q, g.c))
+        ratio = far / np.maximum(far.min(axis=1, keepdims=True), 1e-30) - 1
+        least = np.full(near.size, np.inf)
+        np.minimum.at(least, rows, ratio[np.repeat(np.arange(len(q)), near.shape[1])[rows], lists])
+        needed.append(least)
+    needed = np.sort(np.concatenate(needed))
+    return float(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1e-9
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     """vec_id, f1, f2 (digest of the vector), v: rows that take part."""
 
@@ -161,100 +200,103 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, f"vec_id long, f1 long, f2 long, v {kind}")
 
 
-def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, replicas: int = 5, closure: float = 0.25, ratio: float = 0.42, sample: int = SAMPLE, beam: int = 320) -> DataFrame:
+def nearest(vectors: DataFrame, queries, k: int = 10, list_size: int = 64, replicas: int = 3, closure: float = 0.1, recall: float = 0.95, sample: int = SAMPLE, most_lists: int = MOST_LISTS, beam: int = 64) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of the k nearest found of each query, its own row excepted.
 
     vectors (vec_id, embedding); queries is a condition on vec_id that picks
     the rows that ask.  Nearest first by Euclidean distance in double
     precision, ties to the smaller vec_id.  Vectors that are null, zero, hold
-    null or non-finite components, have a null vec_id, or another length than most, take no part; rows
-    that share a vec_id are one vector (the one with the smaller digest).
-
-    The defaults are set for vectors without any cluster structure, the worst
-    case: there 0.9 recall takes a third of all vectors.  Clustered vectors
-    have few centroids within the ratio, and far less is read.
+    null or non-finite components, or have a null vec_id take no part; those of another
+    length are searched among their like.  Rows equal in vec_id and vector are
+    one; rows that share a vec_id only are candidates each, and each asks (its
+    result stands under the same query_id).
+
+    recall is what the ratio is fitted to on the sample (``sample`` vectors at
+    most).  Lists grow with the table beyond ``most_lists`` times ``list_size``;
+    for more than a million vectors raise sample and most_lists together.
     """
     spark = vectors.sparkSession
     stage = Stage(spark, "neighbours")
-    usable = stage.write(_usable(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").alias("v"))), "usable")
-    shape = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if shape is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    members = stage.write(usable.where(F.size("v") == shape["n"]).groupBy("vec_id").agg(F.min(F.struct("f1", "f2")).alias("f")).select("vec_id", "f.*"), "members")
+    usable = stage.write(_usable(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").alias("v"))).withColumn("n", F.size("v")), "usable")
+    shapes = [r["n"] for r in usable.select("n").distinct().orderBy("n").collect()]
+    out = None
+    for n in shapes:
+        found = _nearest(usable.where(F.col("n") == n).drop("n"), stage, queries, k, list_size, replicas, closure, recall, sample, most_lists, beam)
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double") if out is None else out
+
+
+def _nearest(usable: DataFrame, stage: Stage, queries, k: int, list_size: int, replicas: int, closure: float, recall: float, sample: int, most_lists: int, beam: int) -> DataFrame:
+    """``nearest`` for vectors of one length."""
+    spark = usable.sparkSession
+    members = stage.write(usable.select("vec_id", "f1", "f2").distinct(), "members")
     heads = members.groupBy("f1", "f2").agg(F.min("vec_id").alias("node"))
-    nodes = stage.write(usable.join(heads, [usable.vec_id == heads.node, usable.f1 == heads.f1, usable.f2 == heads.f2]).select("node", usable.f1, usable.f2, "v").dropDuplicates(["node"]), "nodes")
+    nodes = usable.join(heads, [usable.vec_id == heads.node, usable.f1 == heads.f1, usable.f2 == heads.f2]).select("node", usable.f1, usable.f2, "v")
+    # a node is a vector, known by its smallest vec_id and, as rows may share one, half of its digest
+    nodes = stage.write(nodes.dropDuplicates(["node", "f1", "f2"]), "nodes")
 
     count = nodes.count()
     few = nodes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < int(1.2 * sample / count * (1 << 20)) + 1) if count > sample else nodes
     fitted = few.orderBy(F.xxhash64("node")).limit(sample).select("v").toArrow().column(0).combine_chunks()
     x = _matrix(fitted)
-    graph = CentroidGraph(centroids(x, max(2, list_size * len(x) // max(count, 1)) if count > sample else list_size))
+    graph = CentroidGraph(centroids(x, max(2, list_size * len(x) // max(count, 1)) if count > sample else list_size, most_lists))
+    ratio = fitted_ratio(graph, x, k, recall, replicas, closure)
     sent = spark.sparkContext.broadcast(graph)
 
     def assign(batches):
-        g = sent.value
         for big in batches:
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)
-                q = _matrix(b.column(1))
-                ids, dist = g.search(q, min(beam, 32))
-                take_row, take_list = [], []
-                for i in range(len(q)):
-                    chosen: list[int] = []
-                    for j, d in zip(ids[i], dist[i], strict=True):
-                        if len(chosen) == replicas or d > (1 + closure) * dist[i, 0]:
-                            break
-                        if not chosen or all(((g.c[j] - g.c[c]) ** 2).sum() > 0.5 * d * d for c in chosen):
-                            chosen.append(int(j))
-                    take_row += [i] * len(chosen)
-                    take_list += chosen
-                own = b.take(pa.array(take_row, pa.int64()))
-                yield pa.RecordBatch.from_arrays([own.column(0), pa.array(take_list, pa.int32()), own.column(1)], ["node", "list", "v"])
+                rows, lists = replicate(sent.value, _matrix(b.column(2)), replicas, closure)
+                own = b.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(lists), own.column(2)], ["node", "f1", "list", "v"])
 
     def choose(batches):
         g = sent.value
         for big in batches:
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)
-                q = _matrix(b.column(1))
-                rows, lists = g.within(q, ratio, beam)
+                rows, lists = g.within(_matrix(b.column(2)), ratio, beam)
                 for k0 in range(0, len(rows), 16_384):
                     own = b.take(pa.array(rows[k0 : k0 + 16_384]))
-                    yield pa.RecordBatch.from_arrays([own.column(0), pa.array(lists[k0 : k0 + 16_384].astype(np.int32)), own.column(1)], ["node", "list", "v"])
+                    yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(lists[k0 : k0 + 16_384].astype(np.int32)), own.column(2)], ["node", "f1", "list", "v"])
 
     kind = nodes.schema["v"].dataType.simpleString()
-    postings = stage.write(nodes.select("node", "v").mapInArrow(assign, f"node long, list int, v {kind}"), "postings")
-    asking = stage.write(members.where(queries).withColumnRenamed("vec_id", "query_id").join(nodes.select("f1", "f2", "node"), ["f1", "f2"]).select("query_id", "node"), "asking")
-    probing = stage.write(nodes.join(asking.select("node").distinct(), "node", "left_semi").select("node", "v").mapInArrow(choose, f"node long, list int, v {kind}"), "probing")
+    posting = f"node long, f1 long, list int, v {kind}"
+    postings = stage.write(nodes.select("node", "f1", "v").mapInArrow(assign, posting), "postings")
+    named = members.withColumnRenamed("vec_id", "own").join(nodes.select("f1", "f2", "node"), ["f1", "f2"])
+    asking = stage.write(named.withColumnRenamed("own", "vec_id").where(queries).select(F.col("vec_id").alias("query_id"), "node", "f1"), "asking")
+    probing = stage.write(nodes.join(asking.select("node", "f1").distinct(), ["node", "f1"], "left_semi").select("node", "f1", "v").mapInArrow(choose, posting), "probing")
 
     # blocks of lists and of their queries: groups of bounded size
     blocks = lambda df, name: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))  # noqa: E731  most_lists rows
     sizes = F.broadcast(blocks(postings, "nb").join(blocks(probing, "nq"), "list"))
-    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("node", "f1"), F.col(n)).cast("int")
     held = postings.join(sizes, "list").withColumn("b", deal("nb")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
     asks = probing.join(sizes, "list").withColumn("q", deal("nq")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
 
     def compare(asks: pa.Table, held: pa.Table) -> pa.Table:
-        out: tuple[list, ...] = ([], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [])
         if asks.num_rows and held.num_rows:
             q, p = (_matrix(t.column("v").combine_chunks()) for t in (asks, held))
-            qid, pid = (t.column("node").to_numpy() for t in (asks, held))
-            order = np.argsort(pid)
-            p, pid = p[order], pid[order]
+            (qid, qf), (pid, pf) = ((t.column("node").to_numpy(), t.column("f1").to_numpy()) for t in (asks, held))
+            order = np.lexsort((pf, pid))
+            p, pid, pf = p[order], pid[order], pf[order]
             for i in range(len(q)):
                 d = np.sqrt(((p - q[i]) ** 2).sum(axis=1))
                 near = np.argsort(d, kind="stable")[: k + 1]
-                out[0].append(np.full(len(near), qid[i]))
-                out[1].append(pid[near])
-                out[2].append(d[near])
-        cols = [np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, (np.int64, np.int64, np.float64), strict=True)]
-        return pa.table({"query": cols[0], "node": cols[1], "score": cols[2]})
-
-    near = asks.select("list", "b", "q", "node", "v").groupBy("list", "b", "q").cogroup(held.select("list", "b", "q", "node", "v").groupBy("list", "b", "q")).applyInArrow(compare, "query long, node long, score double")
-    best = Window.partitionBy("query").orderBy("score", "node")
-    found = near.distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+                for col, v in zip(out, (np.full(len(near), qid[i]), np.full(len(near), qf[i]), pid[near], pf[near], d[near]), strict=True):
+                    col.append(v)
+        cols = [np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, (np.int64, np.int64, np.int64, np.int64, np.float64), strict=True)]
+        return pa.table(dict(zip(("query", "query_f", "node", "f1", "score"), cols, strict=True)))
+
+    block = ("list", "b", "q")
+    near = asks.select(*block, "node", "f1", "v").groupBy(*block).cogroup(held.select(*block, "node", "f1", "v").groupBy(*block)).applyInArrow(compare, "query long, query_f long, node long, f1 long, score double")
+    asker = Window.partitionBy("query", "query_f")
+    found = near.distinct().withColumn("r", F.row_number().over(asker.orderBy("score", "node", "f1"))).where(F.col("r") <= k + 1)
     # a node's smallest ids; the k + 1 best ids of each asking vector; then each query without its own row
-    ids = members.join(nodes.select("f1", "f2", "node"), ["f1", "f2"]).withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))).where(F.col("r") <= k + 1).select("node", "vec_id")
-    listed = found.drop("r").join(ids, "node").withColumn("r", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).where(F.col("r") <= k + 1)
-    own = asking.join(listed.select(F.col("query").alias("node"), "vec_id", "score"), "node").where(F.col("vec_id") != F.col("query_id"))
-    return own.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ids = named.withColumn("r", F.row_number().over(Window.partitionBy("node", "f1").orderBy("own"))).where(F.col("r") <= k + 1).select("node", "f1", F.col("own").alias("vec_id"))
+    listed = found.drop("r").join(ids, ["node", "f1"]).withColumn("r", F.row_number().over(asker.orderBy("score", "vec_id", "f1"))).where(F.col("r") <= k + 1)
+    other = asking.join(listed.select(F.col("query").alias("node"), F.col("query_f").alias("f1"), "vec_id", "score", F.col("f1").alias("its")), ["node", "f1"]).where((F.col("vec_id") != F.col("query_id")) | (F.col("its") != F.col("f1")))
+    ranked = other.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "node", "f1").orderBy("score", "vec_id", "its")))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
