@@ -6,6 +6,9 @@ All but the last return the columns of documents; n_chars follows the text.
 A row with a null doc_id, or with the doc_id of another, is a document like any
 other; of rows equal in doc_id and text the quality and the near-dedup stage leave
 one, the other stages treat rows as they come.
+Null and empty texts have no words: the quality stage's base rejects them.  Columns
+beyond those of documents are left out, so none can clash.  An empty table gives
+an empty one at every stage.
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ from merchlake.llm.queries import tokenizer_file
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _with_text(docs: DataFrame, kept: str) -> DataFrame:
-    """The documents with their new text; those that nothing is left of go, unchanged ones stay as they are."""
-    return docs.where(F.col(kept).isNotNull()).withColumns({"n_chars": F.when(F.col(kept).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(kept).cast("long")), "text": F.col(kept)}).select(*COLUMNS)
+def _with_text(docs: DataFrame, kept: str, changed: str) -> DataFrame:
+    """The documents with their new text; changed ones that nothing is left of go, unchanged ones stay as they are."""
+    return docs.where(F.col(kept).isNotNull() | ~F.expr(changed)).withColumns({"n_chars": F.when(F.col(kept).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(kept).cast("long")), "text": F.col(kept)}).select(*COLUMNS)
 
 
 def _rows(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
@@ -48,8 +51,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated lines are deleted; a document of later copies only goes."""
-    return _with_text(line_runs.dedup(docs.select(*COLUMNS)), "kept")
+    """Later copies of runs of two lines or more are deleted; a document that consists of them goes.
+
+    Rows that share a doc_id stand in the order of a digest of their texts; rows
+    alike in both are one document and treated alike.  Null texts go on as they are.
+    """
+    return _with_text(line_runs.dedup(docs.select(*COLUMNS)).withColumn("kept", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))), "kept", "n_removed > 0")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,14 +74,18 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds are removed; the texts they are removed from keep their words, joined by blanks."""
+    """Passages of 50 words that an earlier document holds are removed; the texts they are removed from keep their words, joined by blanks.
+
+    Rows with a null doc_id come last; they, and rows that share a doc_id, do not remove from one
+    another.  A document that nothing is left of goes; one without words goes on as it is.
+    """
     out = substrings.dedup(docs.select(*COLUMNS))
     kept = F.when(F.col("n_removed") == 0, F.col("text")).when(F.col("n_removed") < F.col("n_words"), F.col("kept"))
-    return _with_text(out.withColumn("kept", kept), "kept")
+    return _with_text(out.withColumn("kept", kept), "kept", "n_removed > 0")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    """The pieces of all rows and their places in sequences of 1024 tokens; a null or empty text is its end id alone."""
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), 1024, 2)
 
 

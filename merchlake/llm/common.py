@@ -25,12 +25,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is absent (a single machine, tests) a temporary folder
-    is made once and kept in the session's settings.
+    Where the setting is absent a temporary folder is made once and kept in the session's
+    settings, but only where driver and executors are one machine (a local master).
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.conf.get("merchlake.work.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names the folder that driver and executors share; it is not set")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="merchlake-")
         spark.conf.set("merchlake.work.dir", found)
@@ -64,20 +66,20 @@ class Stage:
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables, and let go of the shuffle files of finished steps, which live as long as the driver's objects."""
         for t in tables:
-            path, files = _path(self.spark, t._staged_path)
+            path, files = hadoop_path(self.spark, t._staged_path)
             files.delete(path, True)
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def table_bytes(table: DataFrame) -> int:
     """The size of a staged table on disk."""
-    path, files = _path(table.sparkSession, table._staged_path)
+    path, files = hadoop_path(table.sparkSession, table._staged_path)
     return files.getContentSummary(path).getLength()
 
 

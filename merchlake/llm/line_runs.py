@@ -29,7 +29,7 @@ AT = ["doc", "key", "pos"]
 
 def line_ids(docs: DataFrame) -> DataFrame:
     """doc, key, pos, l1, l2: a 128-bit id of every line that has a word; other lines belong to no run."""
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.hash("text").alias("key"), "text")
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64("text").alias("key"), "text")
 
     def run(c: dict) -> pa.RecordBatch:
         doc, key, pos, digest = [], [], [], []
@@ -41,9 +41,9 @@ def line_ids(docs: DataFrame) -> DataFrame:
                     pos.append(i)
                     digest.append(xxhash.xxh3_128_digest(line))
         ids = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(key, pa.int32()), pa.array(pos, pa.int32()), pa.array(np.ascontiguousarray(ids[:, 0])), pa.array(np.ascontiguousarray(ids[:, 1]))], [*AT, "l1", "l2"])
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(pos, pa.int32()), pa.array(np.ascontiguousarray(ids[:, 0])), pa.array(np.ascontiguousarray(ids[:, 1]))], [*AT, "l1", "l2"])
 
-    return map_batches(own, run, "doc long, key int, pos int, l1 long, l2 long")
+    return map_batches(own, run, "doc long, key long, pos int, l1 long, l2 long")
 
 
 def _ranked(blocks: DataFrame, by: list[str], stage: Stage) -> DataFrame:
@@ -81,7 +81,7 @@ def repeated_runs(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
         copies = level.where(F.col("first") < F.struct(*AT)).select(*AT, F.lit(k).alias("k"), "first")
         later = copies if later is None else later.unionByName(copies)
     if later is None:
-        return docs.sparkSession.createDataFrame([], "doc long, key int, pos int, length int, first struct<doc:long,key:int,pos:int>")
+        return docs.sparkSession.createDataFrame([], "doc long, key long, pos int, length int, first struct<doc:long,key:long,pos:int>")
     deepest = stage.write(later.groupBy(*AT).agg(F.max(F.struct("k", "first")).alias("m")).select(*AT, "m.k", "m.first"), "later")
     before = deepest.select("doc", "key", (F.col("pos") + 1).alias("pos"), F.col("first").alias("b"))
     goes_on = (F.col("b.doc") == F.col("first.doc")) & (F.col("b.key") == F.col("first.key")) & (F.col("b.pos") + 1 == F.col("first.pos"))
@@ -99,23 +99,24 @@ def repeated_runs(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
     return done.unionByName(going).select(*AT, "length", "first")
 
 
-def dedup(docs: DataFrame, min_lines: int = 1) -> DataFrame:
-    """Every row of docs with n_lines, n_removed, n_runs, longest_run and kept, the text without its later copies.
+def dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """Every row of docs with n_lines, n_removed, n_runs, longest_run, longest_gap and kept, the text without its later copies.
 
     Lines are what ``\\n`` separates; lines without a word stay.  A run of
     min_lines or more repeated lines is deleted wherever an earlier copy of
     it exists, in document order (doc_id, nulls last, then position); copies
-    are judged on the input.  kept is null if nothing was left of the text or
+    are judged on the input.  n_runs and longest_run are of the maximal runs, which may
+overlap; longest_gap is the longest stretch of lines deleted in a row.  kept is null if nothing was left of the text or
     if it was null, a null text has no lines, an empty one has one.  Rows
     alike in doc_id and text are one document.  An empty table gives no
     rows.  Other columns are passed on, but for the names doc, key, runs,
-    n_lines, n_removed, n_runs, longest_run and kept.
+    n_lines, n_removed, n_runs, longest_run, longest_gap and kept.
     """
     stage = Stage(docs.sparkSession, "lines")
     runs = repeated_runs(docs.select("doc_id", "text"), stage).where(F.col("length") >= min_lines)
     lists = stage.write(runs.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "length")).alias("runs")), "runs")
-    taken = ("doc", "key", "runs", "n_lines", "n_removed", "n_runs", "longest_run", "kept")
-    own = docs.drop(*taken).withColumns({"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "key": F.hash("text")})
+    taken = ("doc", "key", "runs", "n_lines", "n_removed", "n_runs", "longest_run", "longest_gap", "kept")
+    own = docs.drop(*taken).withColumns({"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "key": F.xxhash64("text")})
     joined = own.join(small_side(lists), ["doc", "key"], "left").drop("doc", "key")
     names = [c for c in joined.columns if c not in ("runs", "text")]
 
@@ -125,10 +126,14 @@ def dedup(docs: DataFrame, min_lines: int = 1) -> DataFrame:
             lines = [] if text is None else text.split("\n")
             gone = {p for r in runs or () for p in range(r["pos"], r["pos"] + r["length"])}
             kept = text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone)
-            rows.append((len(lines), len(gone), len(runs or ()), max((r["length"] for r in runs or ()), default=0), None if gone and not kept.strip() else kept))
+            gap = longest = 0
+            for i in sorted(gone):
+                gap = gap + 1 if i - 1 in gone else 1
+                longest = max(longest, gap)
+            rows.append((len(lines), len(gone), len(runs or ()), max((r["length"] for r in runs or ()), default=0), longest, None if gone and not kept.strip(" \t\n\v\f\r") else kept))
         cols = list(zip(*rows, strict=True))
-        kinds = (pa.int64(),) * 4 + (pa.string(),)
+        kinds = (pa.int64(),) * 5 + (pa.string(),)
         return pa.RecordBatch.from_arrays([*(c[n] for n in names), c["text"], *(pa.array(x, k) for x, k in zip(cols, kinds, strict=True))], [*names, "text", *taken[3:]])
 
-    schema = joined.select(*(f"`{n}`" for n in names), "text").withColumns({n: F.lit(0).cast("long") for n in taken[3:7]} | {"kept": F.lit("")}).schema
+    schema = joined.select(*(f"`{n}`" for n in names), "text").withColumns({n: F.lit(0).cast("long") for n in taken[3:8]} | {"kept": F.lit("")}).schema
     return map_batches(joined.select(*(f"`{n}`" for n in names), "text", "runs"), run, schema)

@@ -18,9 +18,13 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - COALESCE(n,
 
 LINES = rf"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
-m AS (SELECT *, regexp_matches(line, {_WORDS}) AND ROW_NUMBER() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS gone FROM l),
+p AS (SELECT *, regexp_matches(line, {_WORDS}) AS own, LEAD(line) OVER w AS next, LEAD(regexp_matches(line, {_WORDS})) OVER w AS also FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+t AS (SELECT *, own AND also AND ROW_NUMBER() OVER (PARTITION BY line, next ORDER BY doc_id, pos) > 1 AS twice FROM p),
+m AS (SELECT *, COALESCE(twice, false) OR COALESCE(LAG(twice) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM t),
+g AS (SELECT *, pos - ROW_NUMBER() OVER (PARTITION BY doc_id, gone ORDER BY pos) AS island FROM m),
+i AS (SELECT doc_id, MAX(n) AS longest FROM (SELECT doc_id, island, COUNT(*) AS n FROM g WHERE gone GROUP BY 1, 2) GROUP BY 1),
 k AS (SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_removed, COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM m GROUP BY 1)
-SELECT d.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0) AS n_removed, sha256(CASE WHEN n_removed > 0 AND NOT regexp_matches(kept, {_WORDS}) THEN '' ELSE COALESCE(kept, '') END) AS kept_sha256 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
+SELECT d.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0) AS n_removed, COALESCE(longest, 0) AS longest_gap, sha256(CASE WHEN n_removed > 0 AND NOT regexp_matches(kept, {_WORDS}) THEN '' ELSE COALESCE(kept, '') END) AS kept_sha256 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
 """
 
 

@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 from .byte_tokens import byte_tokens
 from .common import Stage, map_batches
 
+#: Slots, cut into blocks of ranks, up to which they are broadcast (about 80 bytes each).
+MOST_SLOTS = 200_000
+
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -175,16 +178,19 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
     per_task = stage.write(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "counts")
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     plan, _ = reduce_and_pack(counts, capacity)
-    where = spark.createDataFrame(slots(plan), "length long, lo long, hi long, first long, n long, offset long") if plan else spark.createDataFrame([], "length long, lo long, hi long, first long, n long, offset long")
+    ranges = slots(plan)
+    where = spark.createDataFrame(ranges, "length long, lo long, hi long, first long, n long, offset long")
     before = per_task.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))).select("length", "task", F.coalesce("before", F.lit(0)).alias("before"))
     ranked = (
         pieces.withColumn("in_task", F.row_number().over(Window.partitionBy("length", "task").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1)
         .join(before, ["length", "task"])
         .withColumn("q", F.col("before") + F.col("in_task"))
     )
-    # slots are many at most for a few lengths; each piece finds its own by (length, block of ranks)
+    # each piece finds its slot by (length, block of ranks): a slot of many sequences lies in many blocks
     block = 512
     cut_slots = where.withColumn("block", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))))
+    rows = sum((hi - 1) // block - lo // block + 1 for _, lo, hi, *_ in ranges)
+    cut_slots = F.broadcast(cut_slots) if rows <= MOST_SLOTS else cut_slots.hint("merge")
     return (
         ranked.withColumn("block", F.floor(F.col("q") / block))
         .join(cut_slots, ["length", "block"])

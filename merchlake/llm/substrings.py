@@ -22,26 +22,32 @@ Each batch is merge-joined with the runs:
    made from the words, and a window is removed if an earlier document has it.
 
 The batch's contexts become a new run; runs of a size are compacted into one.
+A run is a folder of files bucketed and sorted by anchor, so a batch is
+shuffled to it and merge-joined with it where it lies, and the run is not.
+The index outlives a call: ``dedup_batch`` opens it, removes from a new batch what earlier
+batches hold, and adds the batch.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Grams, Stage, map_batches, table_bytes, word_hashes, word_list
+from .common import LAST_ID, Grams, Stage, hadoop_path, map_batches, table_bytes, word_hashes, word_list
 
 CONTEXT = ["anchor", "context", "check"]
 #: Tables up to this many bytes on disk are broadcast; larger ones are joined by a shuffle.
-BROADCAST_BYTES = 24 << 20
+BROADCAST_BYTES = 8 << 20
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """doc (order; null ids last), key (tells rows apart that share a doc_id) and text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.hash("text").alias("key"), "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), F.xxhash64("text").alias("key"), "text")
 
 
 def anchors(h: np.ndarray, grams: Grams, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,13 +78,13 @@ def segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
             digest = xxhash.xxh3_64_intdigest
             check = np.fromiter((digest(raw[b:e]) for b, e in zip(begin, end, strict=True)), np.uint64, len(lo))
             n = len(lo)
-            parts.append((anchor, context, check, np.full(n, doc), np.full(n, key, np.int32), lo.astype(np.int32), hi.astype(np.int32)))
+            parts.append((anchor, context, check, np.full(n, doc), np.full(n, key), lo.astype(np.int32), hi.astype(np.int32)))
         if not parts:
             return None
         cols = [np.concatenate(x) for x in zip(*parts, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in cols], [*CONTEXT, "doc", "key", "lo", "hi"])
 
-    return map_batches(_numbered(docs), run, "anchor long, context long, check long, doc long, key int, lo int, hi int")
+    return map_batches(_numbered(docs), run, "anchor long, context long, check long, doc long, key long, lo int, hi int")
 
 
 _grams = Grams(0)
@@ -86,21 +92,21 @@ _other = Grams(1)
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
-    """Digests w1, w2 of the windows lo..hi of each row (doc, key, fresh, text, spans)."""
+    """Digests w1, w2 of the windows lo..hi of each row (doc, key, text, spans, new)."""
 
     def run(c: dict) -> pa.RecordBatch | None:
         parts = []
-        for doc, key, text, spans in zip(c["doc"].to_pylist(), c["key"].to_pylist(), c["text"].to_pylist(), c["spans"].to_pylist(), strict=True):
+        for doc, key, text, spans, new in zip(*(c[x].to_pylist() for x in ("doc", "key", "text", "spans", "new")), strict=True):
             h = word_hashes(word_list(text))
             at = np.unique(np.concatenate([np.arange(s["lo"], s["hi"] + 1) for s in spans]))
             w1, w2 = (g.spans(g.sums(h), at, at + window) for g in (_grams, _other))
-            parts.append((w1, w2, np.full(len(at), doc), np.full(len(at), key, np.int32), at.astype(np.int32)))
+            parts.append((w1, w2, np.full(len(at), doc), np.full(len(at), key), at.astype(np.int32), np.full(len(at), new)))
         if not parts:
             return None
         cols = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in cols], ["w1", "w2", "doc", "key", "lo"])
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in cols], ["w1", "w2", "doc", "key", "lo", "new"])
 
-    return map_batches(texts.select("doc", "key", "text", "spans"), run, "w1 long, w2 long, doc long, key int, lo int")
+    return map_batches(texts.select("doc", "key", "text", "spans", "new"), run, "w1 long, w2 long, doc long, key long, lo int, new boolean")
 
 
 def small_side(table: DataFrame) -> DataFrame:
@@ -111,83 +117,145 @@ def small_side(table: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """Runs of (anchor, context, check) with their first holder: doc, key, lo, hi.
 
-    A run is sorted by fingerprint within its files and never changed.  When
-    ``fan`` runs have gathered they are merged into one, the smallest doc_id
-    of a fingerprint staying.
+    A run is a folder below root, bucketed and sorted by fingerprint, and never
+    changed; one is valid once its write has succeeded.  An index that exists
+    at root is opened.  When ``fan`` runs have gathered they are merged into
+    one, the smallest doc_id of a fingerprint staying; after a crash in
+    between both the merged run and its parts are read, which changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, fan: int = 3):
-        self.stage, self.fan, self.runs = Stage(spark, "index"), fan, []
+    def __init__(self, spark: SparkSession, root: str, fan: int = 3, buckets: int | None = None):
+        self.spark, self.root, self.fan = spark, root.rstrip("/"), fan
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.runs: list[tuple[int, DataFrame, str, str]] = []
+        path, files = hadoop_path(spark, self.root)
+        for f in files.listStatus(path) if files.exists(path) else ():
+            folder = f.getPath().getName()
+            if files.exists(hadoop_path(spark, f"{self.root}/{folder}/_SUCCESS")[0]):
+                _, number, buckets_of = folder.split("-")
+                self.runs.append((int(number), *self._table(f"{self.root}/{folder}", int(buckets_of))))
+        self.runs.sort(key=lambda r: r[0])
+
+    def _table(self, folder: str, buckets: int) -> tuple[DataFrame, str, str]:
+        name = f"fingerprints_{uuid.uuid4().hex[:12]}"
+        self.spark.sql(f"CREATE TABLE {name} ({RUN}) USING parquet CLUSTERED BY (anchor) SORTED BY (anchor, context, check) INTO {buckets} BUCKETS LOCATION '{folder}'")
+        return self.spark.table(name), name, folder
 
     def add(self, contexts: DataFrame) -> None:
-        self.runs.append(self._sorted(contexts, "run"))
+        self._write(contexts)
         if len(self.runs) >= self.fan:
             self.compact()
 
-    def _sorted(self, df: DataFrame, label: str) -> DataFrame:
-        return self.stage.write(df.select(*CONTEXT, "first").sortWithinPartitions(*CONTEXT), label)
+    def _write(self, contexts: DataFrame) -> None:
+        number = self.runs[-1][0] + 1 if self.runs else 0
+        folder, name = f"{self.root}/run-{number:06d}-{self.buckets}", f"fingerprints_{uuid.uuid4().hex[:12]}"
+        rows = contexts.select(*CONTEXT, "first").repartition(self.buckets, "anchor")
+        rows.write.format("parquet").bucketBy(self.buckets, "anchor").sortBy(*CONTEXT).option("path", folder).saveAsTable(name)
+        self.runs.append((number, self.spark.table(name), name, folder))
 
     def compact(self) -> None:
-        old, merged = self.runs, first_holders(self.read())
-        self.runs = [self._sorted(merged, "compacted")]
-        self.stage.drop(*old)
-
-    def read(self) -> DataFrame | None:
+        old = list(self.runs)
+        self._write(first_holders(self.read()))
+        self.runs = self.runs[len(old) :]
+        for *_, name, folder in old:
+            self.spark.sql(f"DROP TABLE {name}")
+            path, files = hadoop_path(self.spark, folder)
+            files.delete(path, True)
+
+    def read(self) -> DataFrame:
+        """All runs' rows, as plain files: Spark takes a union of bucketed tables for bucketed, which it is not."""
+        return self.spark.read.schema(RUN).parquet(*(folder for *_, folder in self.runs))
+
+    def held(self, anchors: DataFrame) -> DataFrame:
+        """The runs' rows of some anchors, to be written: each run is merge-joined with them."""
         out = None
-        for r in self.runs:
-            out = r if out is None else out.unionByName(r)
+        for _, run, *_ in self.runs:
+            own = run.join(anchors, "anchor", "left_semi")
+            out = own if out is None else out.unionByName(own)
         return out
 
+    def close(self) -> None:
+        """Forget the runs' names; their files stay."""
+        for _, _, name, _ in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+RUN = "anchor BIGINT, context BIGINT, check BIGINT, first STRUCT<doc: BIGINT, key: BIGINT, lo: INT, hi: INT>"
+
 
 def first_holders(df: DataFrame) -> DataFrame:
     return df.groupBy(*CONTEXT).agg(F.min("first").alias("first"))
 
 
+def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """doc, key, lo, end of what earlier documents hold of a batch's segments; the batch then joins the index.
+
+    texts (doc, key, text, new) has the batch (new) and all that is indexed.
+    """
+    first = F.struct("doc", "key", "lo", "hi")
+    new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last")), "contexts")
+    fresh = new.select(*CONTEXT, "first", F.lit(True).alias("fresh"), (F.col("last") > F.col("first.doc")).alias("again"))
+    known, old = fresh, None
+    if index.runs:  # the merge-join of the batch with the runs
+        old = stage.write(index.held(new.select("anchor").distinct()), "old")
+        known = fresh.unionByName(old.select(*CONTEXT, "first", F.lit(False).alias("fresh"), F.lit(True).alias("again")))
+    # 1. whole segments that an earlier document holds
+    holders = known.where("again").groupBy(*CONTEXT).agg(F.min("first.doc").alias("holder"))
+    whole = own.join(holders, CONTEXT).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("hi") + window).alias("end"))
+    # 2. windows, where an anchor has several contexts in several documents
+    open_anchors = (
+        known.groupBy("anchor")
+        .agg(F.min("context").alias("a"), F.max("context").alias("b"), F.min("first.doc").alias("d"), F.max("first.doc").alias("e"), F.max("fresh").alias("fresh"))
+        .where("fresh AND a <> b AND d < e")
+        .select("anchor")
+    )
+    lists = stage.write(first_holders(known.join(open_anchors, "anchor", "left_semi")).groupBy("first.doc", "first.key").agg(F.collect_list(F.struct("first.lo", "first.hi")).alias("spans")), "open")
+    windows = stage.write(_windows(texts.join(small_side(lists), ["doc", "key"]), window), "windows")
+    twice = windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last")).where("holder < last").select("w1", "w2", "holder")
+    single = windows.where("new").join(twice, ["w1", "w2"]).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("lo") + window).alias("end"))
+    spans = stage.write(whole.unionByName(single), "spans")
+    index.add(new)
+    stage.drop(lists, windows, new, *([old] if old is not None else []))
+    return spans
+
+
+def _by_row(spans: DataFrame, stage: Stage) -> DataFrame:
+    return stage.write(spans.groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "end")).alias("spans")), "removed")
+
+
 def removed_spans(docs: DataFrame, window: int = 50, gram: int = 25, batches: int = 3, fan: int = 2) -> DataFrame:
     """doc, key, spans: the spans of words to remove from each row that has any; spans may overlap."""
-    if not 0 < gram <= window:
-        raise ValueError("a gram is within the window")
-    spark = docs.sparkSession
-    stage = Stage(spark, "substrings")
-    index = FingerprintIndex(spark, fan)
+    stage = Stage(docs.sparkSession, "substrings")
+    index = FingerprintIndex(docs.sparkSession, f"{stage.root}/index", fan)
     edges = docs.select(F.percentile_approx(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), [i / batches for i in range(1, batches)], 1000)).first()[0] or [] if batches > 1 else []
     edges = sorted(set(edges))
     batch_of = F.aggregate(F.array(*map(F.lit, edges)), F.lit(0), lambda acc, e: acc + F.when(F.col("doc") > e, 1).otherwise(0)) if edges else F.lit(0)
     found = stage.write_by(segments(docs, window, gram).withColumn("batch", batch_of), "segments", "batch")
-    spans = []
+    out = None
     for b in range(len(edges) + 1):
-        own = found.where(F.col("batch") == b).drop("batch")
-        first = F.struct("doc", "key", "lo", "hi")
-        new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last")), "contexts")
-        fresh = new.select(*CONTEXT, "first", F.lit(True).alias("fresh"), (F.col("last") > F.col("first.doc")).alias("again"))
-        known = fresh
-        if index.runs:  # the merge-join of the batch with the runs
-            old = stage.write(index.read().join(new.select("anchor").distinct(), "anchor", "left_semi"), "old")
-            known = fresh.unionByName(old.select(*CONTEXT, "first", F.lit(False).alias("fresh"), F.lit(True).alias("again")))
-        # 1. whole segments that an earlier document holds
-        holders = known.where("again").groupBy(*CONTEXT).agg(F.min("first.doc").alias("holder"))
-        whole = own.join(holders, CONTEXT).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("hi") + window).alias("end"))
-        # 2. windows, where an anchor has several contexts in several documents
-        open_anchors = (
-            known.groupBy("anchor")
-            .agg(F.min("context").alias("a"), F.max("context").alias("b"), F.min("first.doc").alias("d"), F.max("first.doc").alias("e"), F.max("fresh").alias("fresh"))
-            .where("fresh AND a <> b AND d < e")
-            .select("anchor")
-        )
-        lists = stage.write(first_holders(known.join(open_anchors, "anchor", "left_semi")).groupBy("first.doc", "first.key").agg(F.collect_list(F.struct("first.lo", "first.hi")).alias("spans")), "open")
-        windows = stage.write(_windows(_numbered(docs).join(small_side(lists), ["doc", "key"]), window), "windows")
-        twice = windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last")).where("holder < last").select("w1", "w2", "holder")
-        low = F.lit(edges[b - 1]) if b else None
-        mine = windows.where(F.col("doc") > low) if b else windows
-        single = mine.join(twice, ["w1", "w2"]).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("lo") + window).alias("end"))
-        spans.append(stage.write(whole.unionByName(single), "spans"))
-        index.add(new)
-        stage.drop(lists, windows, new, *([old] if index.runs and b else []))
+        texts = _numbered(docs).withColumn("new", F.col("doc") > edges[b - 1] if b else F.lit(True))
+        spans = _found_in_batch(stage, index, found.where(F.col("batch") == b).drop("batch"), texts, window)
+        out = spans if out is None else out.unionByName(spans)
     stage.drop(found)
-    out = spans[0]
-    for s in spans[1:]:
-        out = out.unionByName(s)
-    return stage.write(out.groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "end")).alias("spans")), "removed")
+    index.close()
+    return _by_row(out, stage)
+
+
+def dedup_batch(docs: DataFrame, index: FingerprintIndex, history: DataFrame | None = None, window: int = 50, gram: int = 25) -> DataFrame:
+    """``dedup`` of a new batch against an index of earlier ones, to which the batch is added.
+
+    history (doc_id, text) are the rows of the earlier batches: where an
+    anchor has several contexts, the windows are read from the words.  Documents
+    of the batch have larger doc_ids than the indexed ones; only the batch is changed.
+    """
+    stage = Stage(docs.sparkSession, "batch")
+    texts = _numbered(docs).withColumn("new", F.lit(True))
+    if history is not None:
+        texts = texts.unionByName(_numbered(history).withColumn("new", F.lit(False)))
+    own = stage.write(segments(docs, window, gram), "segments")
+    spans = _found_in_batch(stage, index, own, texts, window)
+    stage.drop(own)
+    return _without(docs, _by_row(spans, stage))
 
 
 def dedup(docs: DataFrame, window: int = 50, gram: int = 25, batches: int = 3) -> DataFrame:
@@ -200,9 +268,14 @@ def dedup(docs: DataFrame, window: int = 50, gram: int = 25, batches: int = 3) -
     columns are passed on, but for the names doc, key, spans, n_words,
     n_removed and kept, which this operator takes.
     """
-    spans = removed_spans(docs.select("doc_id", "text"), window, gram, batches)
+    if not 0 < gram <= window:
+        raise ValueError("a gram is within the window")
+    return _without(docs, removed_spans(docs.select("doc_id", "text"), window, gram, batches))
+
+
+def _without(docs: DataFrame, spans: DataFrame) -> DataFrame:
     taken = {"doc", "key", "spans", "n_words", "n_removed", "kept"}
-    own = docs.drop(*taken).withColumns({"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "key": F.hash("text")})
+    own = docs.drop(*taken).withColumns({"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "key": F.xxhash64("text")})
     joined = own.join(small_side(spans), ["doc", "key"], "left").drop("doc", "key")
     names = [c for c in joined.columns if c not in ("spans", "text")]
 

@@ -1,6 +1,7 @@
 """The corpus operators against brute force, on the smallest documents and on awkward rows."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -209,6 +210,40 @@ def test_substrings(spark, docs, texts, batches, window, gram):
     assert got == removed(own, window)
 
 
+def test_an_index_that_is_opened_again(spark, texts, tmp_path):
+    own = {i: t for i, t in texts.items() if len(t) < 20_000}
+    own |= {1000: "x y " + " ".join(words(own[max(own)])[:70]), 1001: "p q " * 60, 1002: "z " + "p q " * 60, 1003: " ".join(words(own[max(own)])[3:68])}
+    df = spark.createDataFrame([*own.items()], "doc_id long, text string")
+    parts = [df.where("doc_id < 60"), df.where("doc_id BETWEEN 60 AND 120"), df.where("doc_id BETWEEN 121 AND 1001"), df.where("doc_id > 1001")]
+    got, history = {}, None
+    for part in parts:  # each call opens what the last one left
+        index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=3)
+        assert len(index.runs) < 3
+        got |= {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.dedup_batch(part, index, history).collect()}
+        index.close()
+        history = part if history is None else history.unionByName(part)
+    assert got == removed(own, 50)
+
+
+def test_runs_are_joined_where_they_lie(spark, tmp_path):
+    index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=9, buckets=3)
+    rows = spark.range(1000).selectExpr("id AS anchor", "id AS context", "id AS check", "named_struct('doc', id, 'key', id, 'lo', 1, 'hi', 2) AS first")
+    index.add(rows)
+    index.add(rows)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = index.held(rows.where("anchor % 7 = 0").select("anchor"))
+        assert found.count() == 2 * 143
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "Bucketed: true" in plan and plan.split("Initial Plan")[0].count("SortMergeJoin") == 2
+    index.compact()
+    assert [r[0] for r in index.runs] == [2] and index.read().count() == 1000
+    index.close()
+
+
 def test_substrings_of_awkward_rows(awkward, nothing):
     rows = substrings.dedup(awkward).collect()
     assert len(rows) == len(AWKWARD)
@@ -390,7 +425,9 @@ def test_mixture_of_six_languages(spark):
 # --- lines -----------------------------------------------------------------------
 
 
-def runs(texts):
+@functools.cache
+def _runs(items, least):
+    texts = dict(items)
     lines = {i: t.split("\n") for i, t in texts.items()}
     src, k = {}, 0
     while True:
@@ -415,26 +452,37 @@ def runs(texts):
                 n = 0
                 while p + n < len(lines[i]) and q + n < len(lines[j]) and lines[i][p + n] == lines[j][q + n] and words(lines[i][p + n]):
                     n += 1
-                own.append((p, n))
+                own += [(p, n)] if n >= least else []
         gone = {x for p, n in own for x in range(p, p + n)}
         kept = "\n".join(x for p, x in enumerate(lines[i]) if p not in gone)
         out[i] = (len(lines[i]), len(gone), len(own), max((n for _, n in own), default=0), kept if not gone or words(kept) else None)
     return out
 
 
+def runs(texts, least=1):
+    return _runs(tuple(texts.items()), least)
+
+
 def test_line_runs(spark, docs, texts):
     own = texts | {1000: "a\nb\nc\nd\ne", 1001: "x\nb\nc\nd\ny\na\nb", 1002: "r\n" * 9 + "s", 1003: "\n\nb\n\nc\n"}
     df = spark.createDataFrame([*own.items()], "doc_id long, text string")
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.longest_run, r.kept) for r in line_runs.dedup(df).collect()}
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.longest_run, r.kept) for r in line_runs.dedup(df, 1).collect()}
     assert got == runs(own)
+    for r in line_runs.dedup(df).collect():  # runs of two lines or more
+        assert (r.n_lines, r.n_removed, r.n_runs, r.longest_run, r.kept) == runs(own, 2)[r.doc_id]
 
 
 def test_lines_of_awkward_rows(awkward, nothing):
-    rows = line_runs.dedup(awkward).collect()
+    rows = line_runs.dedup(awkward, 1).collect()
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in rows}
     assert len(rows) == len(AWKWARD)
     assert got[1] == (0, 0, None) and got[2] == (1, 0, "") and got[5] == (1, 1, None) and got[8] == (3, 2, "a b c") and got[9][1] == 0
-    assert line_runs.dedup(nothing).count() == 0
+    assert line_runs.dedup(nothing).count() == 0 and line_runs.dedup(awkward).count() == len(AWKWARD)
+
+
+def test_a_line_of_a_no_break_space_is_text(spark):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "a\nb\n\xa0"), (3, "a\nb\n \t")], "doc_id long, text string")
+    assert {r.doc_id: r.kept for r in line_runs.dedup(df).collect()} == {1: "a\nb", 2: "\xa0", 3: None}
 
 
 def test_runs_of_two_lines_or_more(spark):
