@@ -9,20 +9,53 @@ one, the other stages treat rows as they come.
 Null and empty texts have no words: the quality stage's base rejects them.  Columns
 beyond those of documents are left out, so none can clash.  An empty table gives
 an empty one at every stage.
+
+A stage's result is written before the next stage is called; that one then
+removes what the stage before it staged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.llm import line_runs, near_duplicates, packing, quality_rules, substrings
-from merchlake.llm.common import Stage
+from merchlake.llm.common import Stage, let_go, watched
 from merchlake.llm.queries import tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: What the stages called so far have staged and a later one may remove.
+_left: list[Stage] = []
+
+
+def _clear(docs: DataFrame) -> None:
+    """Remove what earlier stages staged, but for what docs still reads."""
+    if _left:
+        read = docs.inputFiles()
+        done = [s for s in _left if not any(s.root.rsplit("/", 1)[1] in f for f in read)]
+        for s in done:
+            s.clear()
+            _left.remove(s)
+        let_go(docs.sparkSession)
+
+
+def _step(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _clear(docs)
+        with watched() as made:
+            out = step(spark, docs, sf_dir)
+        _left.extend(made)
+        return out
+
+    return run_step
+
+
 def _with_text(docs: DataFrame, kept: str, changed: str) -> DataFrame:
     """The documents with their new text; changed ones that nothing is left of go, unchanged ones stay as they are."""
     return docs.where(F.col(kept).isNotNull() | ~F.expr(changed)).withColumns({"n_chars": F.when(F.col(kept).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(kept).cast("long")), "text": F.col(kept)}).select(*COLUMNS)
@@ -38,6 +71,7 @@ def _one_each(rows: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "key").agg(F.min(F.struct("lang", "source", "n_chars", "row")).alias("one")).select("one.row")
 
 
+@_step
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base or a rule with a controlled risk rejects go.
 
@@ -50,6 +84,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
+@_step
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of two lines or more are deleted; a document that consists of them goes.
 
@@ -59,6 +94,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(line_runs.dedup(docs.select(*COLUMNS)).withColumn("kept", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))), "kept", "n_removed > 0")
 
 
+@_step
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays, one with a null doc_id only if no other has one.
 
@@ -73,6 +109,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(_one_each(least), "row", "left_semi").select(*COLUMNS)
 
 
+@_step
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document holds are removed; the texts they are removed from keep their words, joined by blanks.
 
@@ -86,6 +123,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all rows and their places in sequences of 1024 tokens; a null or empty text is its end id alone."""
+    _clear(docs)
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), 1024, 2)
 
 
@@ -99,7 +137,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = Stage(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
+        before, docs = docs, step(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = stage.write(docs, name.replace(" ", "-"))
+            if i:
+                stage.drop(before)
     return docs

@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_watching: list[list] = []
+
+
+@contextmanager
+def watched() -> Iterator[list]:
+    """A list of the Stages that are made meanwhile."""
+    made: list[Stage] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching.remove(made)
+
+
 class Stage:
     """Tables written in the shared folder to cut lineage.
 
@@ -50,6 +65,13 @@ class Stage:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.made = 0
+        for made in _watching:
+            made.append(self)
+
+    def clear(self) -> None:
+        """Remove all its tables."""
+        path, files = hadoop_path(self.spark, self.root)
+        files.delete(path, True)
 
     def write(self, df: DataFrame, label: str = "t") -> DataFrame:
         return self.write_by(df, label)
@@ -64,12 +86,17 @@ class Stage:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        """Remove tables, and let go of the shuffle files of finished steps, which live as long as the driver's objects."""
+        """Remove tables, and let go of the shuffle files of finished steps."""
         for t in tables:
             path, files = hadoop_path(self.spark, t._staged_path)
             files.delete(path, True)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        let_go(self.spark)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Shuffle files live as long as the driver's objects: collect those."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def hadoop_path(spark: SparkSession, path: str):
