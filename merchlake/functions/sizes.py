@@ -1,0 +1,38 @@
+"""``parse_size`` of single values, for SQL text."""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
+
+from .parsing import _TOKENS, PACKS, UNITS
+from .text import folded_value
+
+_tokens = re.compile(_TOKENS)
+
+
+def size_of(name: str | None) -> tuple[float | None, str | None]:
+    words, found = _tokens.findall(folded_value(name or "")), []
+    for i, x in enumerate(words):
+        at = i + 2 if words[i + 1 : i + 2] in (["'"], ["’"]) else i + 1
+        after = words[at] if at < len(words) else ""
+        if x[0].isdigit() and after != "l" and after.lower() in UNITS:
+            unit, factor = UNITS[after.lower()]
+            packs = float(words[i - 2]) if i > 1 and words[i - 1].lower() in PACKS and words[i - 2].isdigit() else 1.0
+            value = round(float(x.replace(",", ".")) * factor * packs, 3)
+            if value > 0:
+                found.append((value, unit))
+    return next((f for f in found if f[1] != "adet"), found[0] if found else (None, None))
+
+
+@F.pandas_udf(DoubleType())
+def size_value(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: size_of(x)[0], na_action="ignore").astype("Float64")
+
+
+@F.pandas_udf(StringType())
+def size_unit(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: size_of(x)[1], na_action="ignore")

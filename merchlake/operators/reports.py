@@ -36,7 +36,7 @@ def profile(df: DataFrame, sample: int = 120) -> DataFrame:
         shown = F.substring(F.regexp_replace(F.min(text[c]), "[\r\n]", " "), 1, sample)
         aggs.append(F.struct(F.lit(c).alias("path"), F.lit(dict(df.dtypes)[c]).alias("dtype"), F.count(text[c]).alias("fill"), F.countDistinct(text[c]).alias("distinct_count"), shown.alias("sample_value")).alias(f"_c{i}"))
     row = df.agg(*aggs).select("_n", F.inline(F.array(*(f"_c{i}" for i in range(len(text))))))
-    return row.select("path", "dtype", F.bround(100.0 * F.try_divide("fill", "_n"), 1).alias("fill_pct"), "distinct_count", "sample_value")
+    return row.select("path", "dtype", F.bround(100.0 * F.try_divide("fill", "_n"), 1).alias("fill_pct"), "distinct_count", "sample_value").orderBy("path")
 
 
 def completeness(pages: DataFrame, keys: Sequence[str] = ("site", "category")) -> DataFrame:

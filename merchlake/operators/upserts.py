@@ -14,8 +14,17 @@ from pyspark.sql import functions as F
 
 
 def replace_by_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of old whose key is in new go; all rows of new come. Applying it twice changes nothing."""
-    return old.join(new.select(*keys).distinct(), [*keys], "left_anti").unionByName(new)
+    """Rows of old whose key is in new go, null keys too; all rows of new come. Applying it twice changes nothing."""
+    return old.join(*_same(new, keys), "left_anti").unionByName(new)
+
+
+def _same(new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The distinct keys of new under names of their own, and the condition that a row has one of them."""
+    names = [f"_key_{i}" for i in range(len(keys))]
+    condition = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        condition &= F.col(k).eqNullSafe(F.col(n))
+    return new.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True))).distinct(), condition
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], **stamps: Column) -> DataFrame:
@@ -56,8 +65,9 @@ def union_sources(*frames: DataFrame, schema: dict[str, str]) -> DataFrame:
 
 
 def with_surrogate(df: DataFrame, keys: Sequence[str], name: str = "id") -> DataFrame:
-    """A surrogate id that follows from the natural key, the same in every run."""
-    return df.withColumn(name, F.xxhash64(*keys))
+    """A surrogate id that follows from the natural key, the same in every run: MD5 of its parts, parted by ``|``, null as ``\\N``."""
+    part = lambda k: F.coalesce(F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+    return df.withColumn(name, F.md5(F.concat_ws("|", *(part(k) for k in keys))))
 
 
 def sync_activity(existing: DataFrame, current: DataFrame, now: Column, key: str = "url", most_stale: float = 0.5) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +29,13 @@ def land(raw: DataFrame | None, batch: DataFrame, prefixes: Sequence[str] = ())
     return new if both is None else both
 
 
-def clean(raw: DataFrame, columns: Sequence[str], product: str, run: str = "_ingested_at", row_id: str = "_row_id") -> DataFrame:
-    """Approved columns, one row for each product and run: the one that came first."""
-    return first_per_key(whitelist(raw, columns), [product, run], [F.col(row_id)])
+def clean(raw: DataFrame, columns: Sequence[str], product: str, run: str = "_ingested_at", row_id: str = "_row_id", drop: Sequence[str] = (), add: Mapping[str, str] | None = None) -> DataFrame:
+    """Approved columns, one row for each product and run: the one that came first.
+
+    A source's overrides: columns to drop, and columns to add by SQL over the approved ones.
+    """
+    out = first_per_key(whitelist(raw, columns), [product, run], [F.col(row_id)])
+    return out.withColumns({k: F.expr(v) for k, v in (add or {}).items()}).drop(*drop)
 
 
 def supplement_lookup(found: DataFrame) -> DataFrame:

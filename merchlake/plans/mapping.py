@@ -8,10 +8,11 @@ hundredths into whole units for paths and formulas.  Anything else is an error.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parsing import minor_to_major
@@ -69,3 +70,39 @@ def map_sources(sources: Mapping[str, tuple[DataFrame, Mapping[str, Spec]]], kee
             continue
         out = mapped if out is None else out.unionByName(mapped)
     return out, errors
+
+
+#: The strategies' names in mapping files, and the names of hundredths.
+FILE_STRATEGIES = {"direct_path": "path", "computed": "formula", "static": "static", "none": "none"}
+MINOR_UNITS = ("minor", "kurus")
+
+
+def spec_of(entry: Mapping[str, Any]) -> Spec:
+    """A field's spec from a mapping file: as here, or with its strategy by name."""
+    if "strategy" not in entry:
+        return entry
+    kind = FILE_STRATEGIES.get(entry["strategy"])
+    if kind is None:
+        raise ValueError(f"a strategy is one of {sorted(FILE_STRATEGIES)}: {entry['strategy']}")
+    if kind == "none":
+        return {"none": True}
+    value = entry.get(kind, entry.get("value"))
+    return {kind: value} | ({"unit": "minor"} if entry.get("unit") in MINOR_UNITS else {})
+
+
+def mapping_files(spark: SparkSession, folder: str, key: str = "field_mapping") -> dict[str, dict[str, Spec]]:
+    """The mappings in a folder of JSON or YAML files, by file name without its ending; files without the key are no sources.
+
+    Files are read through Spark, so the folder may be in any store; YAML needs the package yaml.
+    """
+    found = {}
+    for name, text in sorted(spark.read.text(folder, wholetext=True, pathGlobFilter="*.{json,yaml,yml}").select(F.input_file_name(), "value").collect()):
+        if name.endswith(".json"):
+            config = json.loads(text)
+        else:
+            import yaml
+
+            config = yaml.safe_load(text)
+        if config and config.get(key):
+            found[name.rpartition("/")[2].rpartition(".")[0]] = {field: spec_of(e or {"none": True}) for field, e in config[key].items()}
+    return found

@@ -48,8 +48,14 @@ def price_drops_by_joins(history: DataFrame, keys: Sequence[str], when: str, tie
 
 
 def mass_events(drops: DataFrame, group: str, more_than: int = 50) -> DataFrame:
-    """Adds kind: summary for drops of a group with more than that many, else individual."""
-    return drops.withColumn("kind", F.when(F.count(F.lit(1)).over(Window.partitionBy(group)) > more_than, "summary").otherwise("individual"))
+    """Adds kind: summary for drops of a group with more than that many, else individual. Groups are counted where the rows are."""
+    large = drops.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > more_than)
+    return drops.join(large, F.col(group).eqNullSafe(F.col("_group")), "left").withColumn("kind", F.when(F.col("_n").isNotNull(), "summary").otherwise("individual")).drop("_group", "_n")
+
+
+def report(drops: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The drops, the largest first, equal ones by their keys."""
+    return drops.orderBy(F.desc("pct_drop"), *keys)
 
 
 def mass_summaries(drops: DataFrame, group: str, more_than: int = 50) -> DataFrame:

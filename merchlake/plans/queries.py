@@ -197,7 +197,7 @@ def union_all_sources(spark, d):
 @query("SELECT md5(CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus) AS id, o_custkey, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY ALL")
 def surrogate_from_natural_key(spark, d):
     groups = table(spark, d, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    return upserts.with_surrogate(groups, ["o_custkey", "o_orderstatus"], "_id").select(F.md5(F.concat_ws("|", "o_custkey", "o_orderstatus")).alias("id"), "o_custkey", "o_orderstatus", "n")
+    return upserts.with_surrogate(groups, ["o_custkey", "o_orderstatus"]).select("id", "o_custkey", "o_orderstatus", "n")
 
 
 # --- mapping ------------------------------------------------------------------------
@@ -301,11 +301,12 @@ def json_items_explode_flatten(spark, d):
     return records.drop_prefixes(records.flatten(found.select("event_id", "item.*")), ["attr.ads"])
 
 
-@query("SELECT p_partkey, p_name AS name, p_retailprice AS price, 2 AS n_images FROM part")
+@query("SELECT p_partkey, p_name AS name, p_retailprice AS price, 2 AS n_images, p_size > 40 AS broken FROM part")
 def xml_items(spark, d):
-    doc = F.concat(F.lit(" <item lang='tr'><name> "), "p_name", F.lit(" </name><price>"), F.col("p_retailprice").cast("string"), F.lit("</price><image>a</image><image>b</image></item>"))
+    doc = F.concat(F.lit(" \n\t<item lang='tr'><name> "), "p_name", F.lit(" </name><price>"), F.col("p_retailprice").cast("string"), F.lit("</price><image>a</image><image>b</image></item>"))
     item = records.parse(doc, "name string, price double, image array<string>")
-    return table(spark, d, "part").select("p_partkey", item.alias("i")).select("p_partkey", F.trim("i.name").alias("name"), "i.price", F.size("i.image").alias("n_images"))
+    cut = F.when(F.col("p_size") > 40, F.replace(doc, F.lit("</item>"), F.lit(""))).otherwise(doc)
+    return table(spark, d, "part").select("p_partkey", item.alias("i"), records.is_malformed(cut).alias("broken")).select("p_partkey", "broken", F.trim("i.name").alias("name"), "i.price", F.size("i.image").alias("n_images"))
 
 
 @query("SELECT page_id, string_split(url, '/')[3] AS host, string_split(url, '/')[4] AS folder, string_split(url, '/')[9] AS beyond, NOT ends_with(url, '.meta.json') AS is_page FROM pages")
@@ -367,16 +368,25 @@ def slugify(spark, d):
     return table(spark, d, "part").select("p_partkey", X.slugify(F.concat("p_type", F.lit(" & "), "p_brand")).alias("slug"))
 
 
-@query()
+_PLAIN = r"regexp_replace(regexp_replace(html, '<br\s*/?>|</p>|<p[^>]*>|</h[1-6]>|<h[1-6][^>]*>|</div>|<div[^>]*>', chr(10), 'gi'), '<[^>]+>', '', 'g')"
+for _entity, _sign in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):  # those that the pages hold
+    _PLAIN = f"replace({_PLAIN}, '&{_entity};', '{_sign}')"
+_BLANK = r"[\s\x0b]"
+
+
+@query(
+    rf"""SELECT page_id, NULLIF(regexp_replace(regexp_replace(array_to_string(list_transform(string_split({_PLAIN}, chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), '^{_BLANK}+|{_BLANK}+$', '', 'g')), chr(10)),
+    '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_BLANK}+|{_BLANK}+$', '', 'g'), '') AS plain FROM pages"""
+)
 def html_to_plain_text(spark, d):
     return table(spark, d, "pages").select("page_id", X.html_to_plain_text(F.col("html")).alias("plain"))
 
 
-@query("SELECT p_partkey, p_brand AS seller, CASE WHEN p_size <= 25 THEN p_type END AS kind, 2 AS n FROM part")
+@query("SELECT p_partkey, p_brand AS seller, CASE WHEN p_size <= 25 THEN p_type || ' & ü' END AS kind, 2 AS n, 'Acme & Co' AS maker FROM part".replace("2 AS n", "3 AS n"))
 def html_label_value_map(spark, d):
-    blob = F.concat(F.lit("<b>Seller:</b> first<br><B>Seller:</B> "), "p_brand", F.lit(" <br/><b>Kind:</b> "), F.when(F.col("p_size") <= 25, F.col("p_type")).otherwise(""), F.lit("<br>junk"))
+    blob = F.concat(F.lit("<b>Seller:</b> first<br><B>Seller:</B> "), "p_brand", F.lit(" <br/><b>Kind:</b> "), F.when(F.col("p_size") <= 25, F.concat("p_type", F.lit(" &amp; &uuml;"))).otherwise(""), F.lit("<br><b>A &amp; B:</b> Acme &amp; Co<br>junk"))
     m = X.label_values(blob)
-    return table(spark, d, "part").select("p_partkey", m.alias("m")).select("p_partkey", F.col("m")["Seller"].alias("seller"), F.col("m")["Kind"].alias("kind"), F.size("m").alias("n"))
+    return table(spark, d, "part").select("p_partkey", m.alias("m")).select("p_partkey", F.col("m")["Seller"].alias("seller"), F.col("m")["Kind"].alias("kind"), F.size("m").alias("n"), F.col("m")["A & B"].alias("maker"))
 
 
 @query(
@@ -431,10 +441,10 @@ def request_templates(spark, d):
 ORACLE["request_templates"] = """SELECT p_partkey, to_base64(encode('{"category":"' || p_brand || '","path":"/c/' || p_brand || '?page=' || CAST(p_size AS VARCHAR) || '","page":' || CAST(p_size AS VARCHAR) || '}')) AS body FROM part"""
 
 
-@query("SELECT doc_id, CASE WHEN length(text) = 0 THEN 1 ELSE CAST(ceil(length(text) / 4096.0) AS INTEGER) END AS n_chunks, text[1:1024] AS head FROM documents")
+@query("SELECT doc_id, CAST(i AS INTEGER) AS pos, substring(text, CAST(i * 4096 + 1 AS BIGINT), 4096) AS piece FROM documents, LATERAL unnest(range(GREATEST(1, CAST(ceil(length(text) / 4096.0) AS BIGINT)))) t(i) WHERE text IS NOT NULL")
 def message_chunks(spark, d):
     parts = X.chunks(F.col("text"), 4096)
-    return table(spark, d, "documents").select("doc_id", F.size(parts).alias("n_chunks"), F.substring("text", 1, 1024).alias("head"))
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.posexplode(parts).alias("pos", "piece"))
 
 
 # --- runs and row ids ------------------------------------------------------------------
@@ -644,17 +654,53 @@ def silver_history(spark, d):
 @query("SELECT event_type, COUNT(*) AS n, CAST(ROUND(CAST(SUM(value) AS DECIMAL(24, 8)), 2) AS DOUBLE) AS total FROM events GROUP BY 1")
 def stream_ingest_available_now(spark, d):
     """The events landed by a stream, twice over the same files, then summed."""
-    import tempfile
     import uuid
 
-    from ..streaming.ingest import ingest_available
+    from ..sources.tables import work_dir
+    from ..streaming.ingest import ingest_available, landed
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="merchlake-")
-    root = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    root = f"{work_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
     source = f"{d}/events.parquet"
     schema = spark.read.parquet(source).schema
     for _ in range(2):
-        ingest_available(spark, source + "*", schema, f"{root}/table", f"{root}/checkpoint", ["event_type", "ts"])
-    return spark.read.parquet(f"{root}/table").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), decimal_round(F.sum("value"), 2).alias("total"))
+        ingest_available(spark, source + "*", schema, f"{root}/table", f"{root}/checkpoint")
+    return landed(spark, f"{root}/table", ["event_type", "ts"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), decimal_round(F.sum("value"), 2).alias("total"))
+
+
+# --- further cases of the operators ----------------------------------------------------------
+
+
+@query("SELECT i AS k, x FROM (SELECT unnest(range(20)) AS i), LATERAL (SELECT 'new' AS x) WHERE i % 3 = 0 UNION ALL SELECT i, 'old' FROM (SELECT unnest(range(20)) AS i) WHERE i % 3 <> 0 UNION ALL SELECT NULL, 'new'")
+def replace_null_keys(spark, d):
+    old = spark.range(20).select(F.col("id").alias("k"), F.lit("old").alias("x")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 'old' AS x"))
+    new = old.where("k % 3 = 0 OR k IS NULL").withColumn("x", F.lit("new"))
+    return upserts.replace_by_keys(upserts.replace_by_keys(old, new, ["k"]), new, ["k"])
+
+
+@query("SELECT CASE WHEN i = 0 THEN 'root' ELSE 'c' || i END AS url, CAST(i AS INTEGER) AS depth FROM (SELECT unnest(range(13)) AS i) UNION ALL SELECT 'd' || i || s, CAST(i AS INTEGER) FROM (SELECT unnest(range(1, 13)) AS i), (VALUES ('a'), ('b')) v(s)")
+def sitemap_cycles_and_diamonds(spark, d):
+    """A chain with a way back to its root, and layers of two that are linked crosswise."""
+    name = lambda i, prefix, end="": "root" if i == 0 else f"{prefix}{i}{end}"
+    chain = [(name(i, "c"), name(i + 1, "c")) for i in range(12)] + [("c12", "root")]
+    layers = [(name(i, "d", a), f"d{i + 1}{b}") for i in range(12) for a in ("a", "b") for b in ("a", "b")]
+    links = spark.createDataFrame(sorted({*chain, *layers}), "parent string, child string")
+    return web.reachable(spark, links, spark.sql("SELECT 'root' AS url"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 5 THEN 'A > ' || replace(p_type, ' ', '_') END AS path, CASE WHEN p_size > 25 THEN p_size END AS size_group, CASE WHEN p_size > 10 THEN TIMESTAMP '2024-03-01 10:20:30' END AS at FROM part")
+def breadcrumb_path(spark, d):
+    n = F.col("p_size")
+    names = F.concat(F.lit('[{"link":"","name":"A"},{"name":"'), F.replace("p_type", F.lit(" "), F.lit("_")), F.lit('"},{"name":"itself"}'))
+    doc = F.when(n > 5, F.concat(names, F.lit("]"))).when(n > 3, names).otherwise('[{"name":"itself"}]')
+    group = X.first_group(F.concat(F.when(n > 25, "size=").otherwise("none="), n.cast("string")), r"size=(\d+)")
+    return table(spark, d, "part").select("p_partkey", P.breadcrumb(doc).alias("path"), group.cast("int").alias("size_group"), P.iso_time(F.when(n > 10, "2024-03-01T10:20:30").otherwise("soon")).cast("timestamp_ntz").alias("at"))
+
 
+@query("SELECT p_partkey, p_name AS name, trim(regexp_replace(lower(replace(p_name, 'I', 'i')), '[^a-z0-9]+', ' ', 'g')) AS key, p_size * 2.0 AS size_value, 'ml' AS size_unit FROM part")
+def functions_in_sql(spark, d):
+    """The scalar functions called by name, as mapping formulas do."""
+    from ..functions import sql
 
+    sql.register(spark)
+    part = table(spark, d, "part").withColumn("sized", F.concat("p_name", F.lit(" 2x"), F.col("p_size").cast("string"), F.lit(" ml")))
+    return part.selectExpr("p_partkey", f"{sql.CLEAN}(p_name) AS name", f"{sql.KEY}(p_name) AS key", f"{sql.SIZE_VALUE}(sized) AS size_value", f"{sql.SIZE_UNIT}(sized) AS size_unit")

@@ -12,9 +12,9 @@ SIDECAR = ".meta.json"
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """name, modified, length of every object below root. Contents are not read."""
+    """name, modified, length of every object below root, the oldest first, equal ones by name. Contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select(F.col("path").alias("name"), F.col("modificationTime").alias("modified"), "length")
+    return files.select(F.col("path").alias("name"), F.col("modificationTime").alias("modified"), "length").orderBy("modified", "name")
 
 
 def contents(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

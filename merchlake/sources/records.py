@@ -4,19 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 
 def parse(text: Column, schema: str) -> Column:
-    """A document as a struct: XML if its first character says so, else JSON; null fields where it is malformed."""
-    return F.when(F.startswith(F.ltrim(text), F.lit("<")), F.from_xml(text, schema)).otherwise(F.from_json(text, schema))
+    """A document as a struct: XML if its first character, white space aside, says so, else JSON; null fields where it is malformed."""
+    return F.when(is_xml(text), F.from_xml(text, schema)).otherwise(F.from_json(text, schema))
+
+
+def is_xml(text: Column) -> Column:
+    return text.rlike(r"\A\s*<")
 
 
 def is_malformed(text: Column) -> Column:
-    """True for JSON that does not parse."""
-    return text.isNotNull() & ~F.startswith(F.ltrim(text), F.lit("<")) & F.try_parse_json(text).isNull()
+    """True for JSON or XML that does not parse."""
+    broken = F.from_xml(F.when(is_xml(text), text), "_broken string", {"columnNameOfCorruptRecord": "_broken"})["_broken"].isNotNull()
+    return text.isNotNull() & F.when(is_xml(text), broken).otherwise(F.try_parse_json(text).isNull())
+
+
+def json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines with the schema that all their rows have together."""
+    return spark.read.json(path)
 
 
 def items(df: DataFrame, document: Column, path: str) -> DataFrame:

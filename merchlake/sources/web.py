@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -11,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .tables import work_dir
 
 
 def robots(files: DataFrame) -> DataFrame:
@@ -67,18 +69,18 @@ def sitemap_locations(files: DataFrame) -> DataFrame:
 
 
 def reachable(spark: SparkSession, links: DataFrame, roots: DataFrame) -> DataFrame:
-    """url, depth of everything that the links (parent, child) lead to from the roots (url); each once, at its least depth."""
-    links.createOrReplaceTempView("_links")
-    roots.createOrReplaceTempView("_roots")
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(url, depth) AS (
-            SELECT url, 0 FROM _roots
-            UNION ALL
-            SELECT l.child, w.depth + 1 FROM walk w JOIN _links l ON l.parent = w.url WHERE w.depth < 50
-        )
-        SELECT url, min(depth) AS depth FROM walk GROUP BY url
-        """
-    )
-
+    """url, depth of everything that the links (parent, child) lead to from the roots (url); each once, at its least depth.
 
+    Each round follows the links from what the last one found and keeps what no round
+    has found before, until nothing is new: cycles and many ways to one url cost nothing.
+    """
+    root, depth = f"{work_dir(spark)}/walk-{uuid.uuid4().hex[:12]}", 0
+    seen = lambda: spark.read.schema("url string, depth int").parquet(root)
+    found = roots.select(F.col("url").cast("string"))
+    while True:
+        found.where("url IS NOT NULL").distinct().write.parquet(f"{root}/depth={depth}")
+        last = spark.read.schema("url string").parquet(f"{root}/depth={depth}")
+        if last.isEmpty():
+            return seen()
+        found = links.join(last, links["parent"] == last["url"]).select(F.col("child").cast("string").alias("url")).distinct().join(seen().select("url"), "url", "left_anti")
+        depth += 1

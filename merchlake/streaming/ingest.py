@@ -4,33 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.upserts import replace_by_keys
-from ..sources.tables import swap, table_exists
 
-
-def ingest_available(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, keys: Sequence[str], file_format: str = "parquet") -> None:
+def ingest_available(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, file_format: str = "parquet") -> None:
     """Take in all files that are new since the last call; the checkpoint is the ledger.
 
-    Each batch replaces the target's rows of the (site, run) keys that it
-    holds, so a batch that is run again after a failure changes nothing.
+    Each batch is a folder of its own: one that is run again after a failure
+    overwrites itself and nothing else.  ``landed`` reads what counts.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        new = batch.persist()  # read for the keys and for the rows
-        try:
-            out = replace_by_keys(spark.read.parquet(target), new, keys) if table_exists(spark, target) else new
-            swap(out, target)
-        finally:
-            new.unpersist()
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     stream = spark.readStream.format(file_format).schema(schema).load(source)
-    stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def landed(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """What was taken in: of each (site, run) key, null or not, the rows of the last batch that holds it."""
+    rows = spark.read.parquet(target)
+    return rows.withColumn("_last", F.max("batch").over(Window.partitionBy(*keys))).where("batch = _last").drop("batch", "_last")
 
 
 def session_counts(stream: DataFrame, when: str, keys: Sequence[str], gap: str = "15 minutes", late: str = "1 hour") -> DataFrame:

@@ -154,7 +154,7 @@ def test_archive_and_swap(spark, tmp_path):
     target = str(tmp_path / "table")
     tables.swap(spark.range(3), target)
     tables.swap(tables.read(spark, target).where("id > 0"), target)
-    assert spark.read.parquet(target).count() == 2
+    assert tables.read(spark, target).count() == 2
 
 
 def test_reports(spark):
@@ -162,3 +162,79 @@ def test_reports(spark):
     assert {r.field: r.nulls for r in reports.null_rates(df, ["a", "e"]).collect()} == {"a": 1, "e": 2}
     pages = spark.createDataFrame([("s", "c", 1, 200, 5, 10, None), ("s", "c", 2, 200, 5, 10, "empty_page"), ("s", "d", 1, 500, 0, None, "http_error"), ("s", "e", 1, 200, 3, None, "empty_page"), ("s", "f", 1, 200, 3, 4, "empty_page")], "site string, category string, page int, status int, items int, declared_total int, stop_reason string")
     assert {r.category: r.verdict for r in reports.completeness(pages).collect()} == {"c": "complete", "d": "incomplete", "e": "unverified", "f": "maybe_incomplete"}
+
+
+def test_a_failed_swap_leaves_the_last_version(spark, tmp_path):
+    target = f"file://{tmp_path}/t"
+    tables.swap(spark.range(3), target)
+    (tmp_path / "t" / "version-000000001").mkdir()  # a write that was cut off
+    assert tables.read(spark, target).count() == 3
+    tables.swap(tables.read(spark, target).where("id > 0"), target)
+    tables.swap(tables.read(spark, target).where("id > 1"), target)
+    assert [r.id for r in tables.read(spark, target).collect()] == [2] and tables.table_exists(spark, target)
+    assert not tables.table_exists(spark, f"file://{tmp_path}/none")
+
+
+def test_batches_that_come_again_change_nothing(spark, tmp_path):
+    from merchlake.streaming import ingest
+
+    source, target, schema = tmp_path / "in", f"file://{tmp_path}/out", "site string, run string, x long"
+    put = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"file://{source}")
+    take = lambda n: ingest.ingest_available(spark, f"file://{source}", spark.createDataFrame([], schema).schema, target, f"file://{tmp_path}/c{n}")
+    put([("a", "1", 1), ("a", "1", 2), (None, "1", 3)])
+    take(0)
+    first = sorted(map(str, ingest.landed(spark, target, ["site", "run"]).collect()))
+    take(1)  # a new ledger: the same batch once more
+    assert sorted(map(str, ingest.landed(spark, target, ["site", "run"]).collect())) == first and len(first) == 3
+    put([("a", "1", 9), (None, "2", 4)])
+    take(1)
+    got = {(r.site, r.run, r.x) for r in ingest.landed(spark, target, ["site", "run"]).collect()}
+    assert got == {("a", "1", 9), (None, "1", 3), (None, "2", 4)}
+
+
+def test_streams(spark, tmp_path):
+    from merchlake.streaming import ingest
+
+    spark.sql("SELECT 'k' AS k, timestamp'2024-01-01 10:00:00' + make_interval(0, 0, 0, 0, 0, m) AS t FROM (SELECT explode(array(0, 5, 10, 60, 62, 300)) AS m)").coalesce(1).write.parquet(f"file://{tmp_path}/in")
+    stream = lambda: spark.readStream.schema("k string, t timestamp").parquet(f"file://{tmp_path}/in")
+
+    def run(df, name, mode):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"file://{tmp_path}/{name}").trigger(availableNow=True).start().awaitTermination()
+        return spark.table(name).collect()
+
+    found = sorted((r.run_start.minute + 60 * (r.run_start.hour - 10), r.n) for r in run(ingest.session_counts(stream(), "t", ["k"]), "runs", "append"))
+    assert found == [(0, 3), (60, 2)]  # the last run is open until the watermark passes it
+    assert len(run(ingest.first_seen(stream(), "k", "t"), "firsts", "append")) == 1
+
+
+def test_mapping_files(spark, tmp_path):
+    import json
+
+    (tmp_path / "b.json").write_text(json.dumps({"field_mapping": {"id": {"strategy": "direct_path", "path": "x.y", "note": "n"}, "name": {"strategy": "computed", "formula": "upper(a)"}, "list_price_try": {"strategy": "direct_path", "path": "p", "unit": "kurus"}, "currency": {"strategy": "static", "value": "TRY"}, "url": {"strategy": "none"}}}))
+    (tmp_path / "a.json").write_text(json.dumps({"other": 1}))
+    got = mapping.mapping_files(spark, f"file://{tmp_path}")
+    assert list(got) == ["b"]
+    df = spark.createDataFrame([(1, "a", 250)], "`x.y` int, a string, p long")
+    row = mapping.map_source(df, "b", got["b"]).first()
+    assert (row.id, row.name, row.list_price_try, row.currency, row.url) == ("1", "A", 2.5, "TRY", None)
+    with pytest.raises(ValueError):
+        mapping.spec_of({"strategy": "guess"})
+
+
+def test_overrides_and_lines(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"id": 1, "images": ["u"]}\n{"id": 2, "late": 1.5}\n')
+    raw = records.json_lines(spark, f"file://{tmp_path}/x.jsonl")
+    assert set(raw.columns) == {"id", "images", "late"}
+    out = history.clean(raw.withColumns({"_ingested_at": F.lit(1), "_row_id": F.col("id")}), ["id", "images", "_ingested_at", "_row_id"], "id", drop=["images"], add={"image_url": "'https://e.com/' || get(images, 0)"})
+    assert {r.id: r.image_url for r in out.collect()} == {1: "https://e.com/u", 2: None} and "images" not in out.columns
+    texts = ["\n <r><a>1</a></r>", "<r><a>1</a>", '\t{"a":1}', "{a", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    assert [r[0] for r in df.select(records.is_malformed(F.col("t"))).collect()] == [False, True, False, True, False]
+    assert [r[0] for r in df.select(records.parse(F.col("t"), "a int")["a"]).collect()][0:3:2] == [1, 1]
+
+
+def test_mass_events_of_null_groups(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4), ("b", 5)], "g string, pct_drop int")
+    got = {r.pct_drop: r.kind for r in drops.mass_events(df, "g", 1).collect()}
+    assert got == {1: "summary", 2: "summary", 3: "summary", 4: "summary", 5: "individual"}
+    assert [r.pct_drop for r in drops.report(df, ["g"]).collect()] == [5, 4, 3, 2, 1]
