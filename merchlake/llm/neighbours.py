@@ -58,7 +58,11 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
 
 
 def centroids(x: np.ndarray, list_size: int, most: int = MOST_LISTS, seed: int = 1) -> np.ndarray:
-    """Means of a hierarchical clustering, the largest cluster split first."""
+    """Means of a hierarchical clustering, the largest cluster split first.
+
+    Clusters of less than an eighth of list_size are no lists: a query in one of them would be
+    so near to its centroid that the ratio finds nothing else.
+    """
     import heapq
 
     rng = np.random.default_rng(seed)
@@ -78,7 +82,8 @@ def centroids(x: np.ndarray, list_size: int, most: int = MOST_LISTS, seed: int =
         for p in parts:
             heapq.heappush(heap, (-len(p), made, p))
             made += 1
-    return np.array([x[r].mean(axis=0) for r in done])
+    kept = [r for r in done if len(r) >= max(2, list_size // 8)] or done
+    return np.array([x[r].mean(axis=0) for r in kept])
 
 
 class CentroidGraph:
@@ -143,6 +148,19 @@ class CentroidGraph:
                 lists.append(cols)
         return np.concatenate(rows), np.concatenate(lists)
 
+    def enough(self, q: np.ndarray, rows: np.ndarray, lists: np.ndarray, sizes: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs, and for queries whose lists hold less than need postings the nearest lists that do."""
+        few = np.flatnonzero(np.bincount(rows, sizes[lists], len(q)) < need)
+        keep = ~np.isin(rows, few)
+        out = [(rows[keep], lists[keep])]
+        for i in few:
+            near = np.argsort(squared(q[i : i + 1], self.c)[0], kind="stable")
+            own = lists[rows == i]
+            more = near[: int(np.searchsorted(np.cumsum(sizes[near]), need)) + 1]
+            found = np.union1d(own, more)
+            out.append((np.full(len(found), i), found))
+        return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+
 
 def replicate(g: CentroidGraph, v: np.ndarray, replicas: int, closure: float, beam: int = 32) -> tuple[np.ndarray, np.ndarray]:
     """Row and list of each posting: a vector's nearest list, and others nearly as near that no chosen list's centroid is nearer to."""
@@ -242,6 +260,8 @@ def _nearest(usable: DataFrame, stage: Stage, queries, k: int, list_size: int, r
     graph = CentroidGraph(centroids(x, max(2, list_size * len(x) // max(count, 1)) if count > sample else list_size, most_lists))
     ratio = fitted_ratio(graph, x, k, recall, replicas, closure)
     sent = spark.sparkContext.broadcast(graph)
+    # a vector stands in ``replicas`` lists at most, so that many postings hold k + 1 vectors
+    sizes_of, need = np.zeros(len(graph.c), np.int64), 2 * replicas * (k + 1)
 
     def assign(batches):
         for big in batches:
@@ -256,7 +276,8 @@ def _nearest(usable: DataFrame, stage: Stage, queries, k: int, list_size: int, r
         for big in batches:
             for at in range(0, big.num_rows, 512):
                 b = big.slice(at, 512)
-                rows, lists = g.within(_matrix(b.column(2)), ratio, beam)
+                q = _matrix(b.column(2))
+                rows, lists = g.enough(q, *g.within(q, ratio, beam), sizes_of, need)
                 for k0 in range(0, len(rows), 16_384):
                     own = b.take(pa.array(rows[k0 : k0 + 16_384]))
                     yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(lists[k0 : k0 + 16_384].astype(np.int32)), own.column(2)], ["node", "f1", "list", "v"])
@@ -264,6 +285,8 @@ def _nearest(usable: DataFrame, stage: Stage, queries, k: int, list_size: int, r
     kind = nodes.schema["v"].dataType.simpleString()
     posting = f"node long, f1 long, list int, v {kind}"
     postings = stage.write(nodes.select("node", "f1", "v").mapInArrow(assign, posting), "postings")
+    for j, n in postings.groupBy("list").count().collect():  # most_lists rows
+        sizes_of[j] = n
     named = members.withColumnRenamed("vec_id", "own").join(nodes.select("f1", "f2", "node"), ["f1", "f2"])
     asking = stage.write(named.withColumnRenamed("own", "vec_id").where(queries).select(F.col("vec_id").alias("query_id"), "node", "f1"), "asking")
     probing = stage.write(nodes.join(asking.select("node", "f1").distinct(), ["node", "f1"], "left_semi").select("node", "f1", "v").mapInArrow(choose, posting), "probing")
