@@ -9,7 +9,7 @@
   nearly as near, unless a chosen centroid is too close to theirs.
 * A query probes the lists whose centroid is no farther than a ratio of the
   nearest one's distance, and compares exactly with all vectors there.  The ratio
-  is fitted: on the sample, it finds the share ``recall`` of the true neighbours, so
+  is fitted, by how near the nearest one is: on the sample, it finds the share ``recall`` of the true neighbours, so
   clustered vectors are read in small part and others as far as they need it.
 
 Lists that grow beyond a block are dealt over blocks, and their queries too,
@@ -31,7 +31,7 @@ SAMPLE = 20_000
 MOST_LISTS = 4096
 BLOCK = 1024
 #: Vectors of the sample that ask when the ratio is fitted.
-TRIALS = 256
+TRIALS = 512
 
 
 def _matrix(column) -> np.ndarray:
@@ -130,20 +130,22 @@ class CentroidGraph:
             ids, dist, open_ = ids[every, best], dist[every, best], open_[every, best]
         return ids, dist
 
-    def within(self, q: np.ndarray, ratio: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    def within(self, q: np.ndarray, ratio, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Query and centroid of each pair that lies within 1 + ratio times the query's least distance.
 
-        Where the beam does not reach beyond that distance, all centroids are scanned.
+        ratio is a number, or one for each query made from its least distance.  Where the beam
+        does not reach beyond the bound, all centroids are scanned.
         """
+        bound = lambda least: least * (1 + (ratio(least) if callable(ratio) else ratio))
         ids, dist = self.search(q, beam)
-        last = dist[:, -1]
-        wide = ~(np.isfinite(last) & (last > (1 + ratio) * dist[:, 0]))
-        at, cols = np.nonzero((dist <= (1 + ratio) * dist[:, :1]) & ~wide[:, None])
+        most = bound(dist[:, 0])
+        wide = ~(np.isfinite(dist[:, -1]) & (dist[:, -1] > most))
+        at, cols = np.nonzero((dist <= most[:, None]) & ~wide[:, None])
         rows, lists = [at], [ids[at, cols]]
         for part in np.array_split(np.flatnonzero(wide), -(-int(wide.sum()) // 64) or 1):
             if len(part):
                 d = np.sqrt(squared(q[part], self.c))
-                at, cols = np.nonzero(d <= (1 + ratio) * d.min(axis=1, keepdims=True))
+                at, cols = np.nonzero(d <= bound(d.min(axis=1))[:, None])
                 rows.append(part[at])
                 lists.append(cols)
         return np.concatenate(rows), np.concatenate(lists)
@@ -178,23 +180,39 @@ def replicate(g: CentroidGraph, v: np.ndarray, replicas: int, closure: float, be
     return np.array(rows, np.int64), np.array(lists, np.int32)
 
 
-def fitted_ratio(g: CentroidGraph, x: np.ndarray, k: int, recall: float, replicas: int, closure: float, trials: int = TRIALS) -> float:
-    """The least ratio at which the lists within it hold the share recall of the sample's true neighbours of some of its vectors."""
-    if len(x) < 2:
-        return 0.0
-    needed = []
-    for q in np.array_split(x[:: max(1, len(x) // trials)][:trials], 8):
-        if not len(q):
-            continue
-        near = np.argsort(squared(q, x), axis=1)[:, 1 : k + 1]
-        rows, lists = replicate(g, x[near.ravel()], replicas, closure)
-        far = np.sqrt(squared(q, g.c))
-        ratio = far / np.maximum(far.min(axis=1, keepdims=True), 1e-30) - 1
-        least = np.full(near.size, np.inf)
-        np.minimum.at(least, rows, ratio[np.repeat(np.arange(len(q)), near.shape[1])[rows], lists])
-        needed.append(least)
-    needed = np.sort(np.concatenate(needed))
-    return float(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1e-9
+class FittedRatio:
+    """A ratio for each of some classes of queries, by the distance of their nearest centroid: dense parts need larger ones.
+
+    In each class it is the least at which the lists within it hold the share recall of the
+    sample's true neighbours of some of its vectors.
+    """
+
+    def __init__(self, g: CentroidGraph, x: np.ndarray, k: int, recall: float, replicas: int, closure: float, trials: int = TRIALS, classes: int = 8):
+        self.edges, self.ratios = np.zeros(0), np.zeros(1)
+        if len(x) < 2:
+            return
+        base, needed = [], []
+        for q in np.array_split(x[:: max(1, len(x) // trials)][:trials], 8):
+            if not len(q):
+                continue
+            near = np.argsort(squared(q, x), axis=1)[:, 1 : k + 1]
+            rows, lists = replicate(g, x[near.ravel()], replicas, closure)
+            far = np.sqrt(squared(q, g.c))
+            ratio = far / np.maximum(far.min(axis=1, keepdims=True), 1e-30) - 1
+            least = np.full(near.size, np.inf)
+            np.minimum.at(least, rows, ratio[np.repeat(np.arange(len(q)), near.shape[1])[rows], lists])
+            base.append(far.min(axis=1))
+            needed += list(least.reshape(len(q), -1))
+        base = np.concatenate(base)
+        self.edges = np.quantile(base, np.arange(1, classes) / classes)
+        own = np.searchsorted(self.edges, base)
+        self.ratios = np.zeros(classes)
+        for j in range(classes):
+            found = np.sort(np.concatenate([n for n, o in zip(needed, own, strict=True) if o == j] or [np.zeros(1)]))
+            self.ratios[j] = found[min(len(found) - 1, int(np.ceil(recall * len(found))))] + 1e-9
+
+    def __call__(self, least: np.ndarray) -> np.ndarray:
+        return self.ratios[np.searchsorted(self.edges, least)]
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -258,7 +276,7 @@ def _nearest(usable: DataFrame, stage: Stage, queries, k: int, list_size: int, r
     fitted = few.orderBy(F.xxhash64("node")).limit(sample).select("v").toArrow().column(0).combine_chunks()
     x = _matrix(fitted)
     graph = CentroidGraph(centroids(x, max(2, list_size * len(x) // max(count, 1)) if count > sample else list_size, most_lists))
-    ratio = fitted_ratio(graph, x, k, recall, replicas, closure)
+    ratio = FittedRatio(graph, x, k, recall, replicas, closure)
     sent = spark.sparkContext.broadcast(graph)
     # a vector stands in ``replicas`` lists at most, so that many postings hold k + 1 vectors
     sizes_of, need = np.zeros(len(graph.c), np.int64), 2 * replicas * (k + 1)

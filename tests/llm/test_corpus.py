@@ -368,8 +368,8 @@ def test_recall_and_share_read(spark, clustered, monkeypatch):
     probed, lists = [], []
     within, init = neighbours.CentroidGraph.within, neighbours.CentroidGraph.__init__
     monkeypatch.setattr(neighbours.CentroidGraph, "__init__", lambda self, c, degree=24: (init(self, c, degree), lists.append(self))[0])
-    fitted = neighbours.fitted_ratio
-    monkeypatch.setattr(neighbours, "fitted_ratio", lambda *a: probed.append(fitted(*a)) or probed[-1])
+    fitted = neighbours.FittedRatio
+    monkeypatch.setattr(neighbours, "FittedRatio", lambda *a: probed.append(fitted(*a)) or probed[-1])
     got = collections.defaultdict(set)
     for r in neighbours.nearest(df, F.col("vec_id") % 100 == 0).collect():
         got[r.query_id].add(r.vec_id)
@@ -383,7 +383,7 @@ def test_recall_and_share_read(spark, clustered, monkeypatch):
         hits.append(len(got[i] & set(np.argsort(d)[:10].tolist())) / 10)
         _, found = within(g, x[i : i + 1], ratio, 64)
         read.append(sizes[found].sum() / n)
-    print(f"clustered {clustered}: {len(g.c)} lists, copies {len(rows) / n:.2f}, ratio {ratio:.3f}, recall {np.mean(hits):.3f}, share read {np.mean(read):.3f}")
+    print(f"clustered {clustered}: {len(g.c)} lists, copies {len(rows) / n:.2f}, ratios {ratio.ratios.round(2)}, recall {np.mean(hits):.3f}, share read {np.mean(read):.3f}")
     assert np.mean(hits) >= 0.9 and {len(v) for v in got.values()} == {10} and len(got) == n // 100
     assert np.mean(read) < (0.2 if clustered else 1.0)
 
