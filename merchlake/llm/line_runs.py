@@ -25,6 +25,21 @@ from .common import LAST_ID, Stage, map_batches
 from .substrings import small_side
 
 AT = ["doc", "key", "pos"]
+#: A key that holds one part in HOT of all rows is joined by a broadcast; there are HOT of them at most.
+HOT = 1000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, by: list[str]) -> DataFrame:
+    """rows joined with keyed, which has each key once with n, how many of the rows have it; n goes.
+
+    rows and keyed are staged.  Keys that hold a thousandth of the rows each
+    never number more than a thousand: those are broadcast, so that no task
+    gets all the rows of one.
+    """
+    few = F.col("n") * HOT < rows.count()
+    hot, cold = keyed.where(~few).drop("n"), keyed.where(few).drop("n")
+    rest = rows.join(F.broadcast(hot.select(*by)), by, "left_anti")
+    return rows.join(F.broadcast(hot), by).unionByName(rest.join(cold, by))
 
 
 def line_ids(docs: DataFrame) -> DataFrame:
@@ -50,15 +65,15 @@ def _ranked(blocks: DataFrame, by: list[str], stage: Stage) -> DataFrame:
     """The blocks (doc, key, pos and the columns by) that occur twice or more: rank, in the order of by, and first, the first position."""
     same = blocks.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*AT)).alias("first")).where("n > 1")
     # ascending over range partitions: the number of a row is its rank
-    ranks = stage.write(same.repartitionByRange(*by).sortWithinPartitions(*by).select(*by, F.monotonically_increasing_id().alias("rank"), "first"), "ranks")
-    return stage.write(blocks.join(ranks, by).select(*AT, "rank", "first"), "blocks")
+    ranks = stage.write(same.repartitionByRange(*by).sortWithinPartitions(*by).select(*by, "n", F.monotonically_increasing_id().alias("rank"), "first"), "ranks")
+    return stage.write(join_counted(blocks, ranks, by).select(*AT, "rank", "first"), "blocks")
 
 
 def levels(docs: DataFrame, stage: Stage) -> list[DataFrame]:
     """For k = 0, 1, ...: the positions where a repeated block of 2**k lines starts, with its rank and first position."""
     lines = stage.write(line_ids(docs), "lines")
-    twice = lines.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("l1", "l2")
-    out = [_ranked(stage.write(lines.join(twice, ["l1", "l2"]).distinct(), "repeated"), ["l1", "l2"], stage)]
+    twice = stage.write(lines.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "twice")
+    out = [_ranked(stage.write(join_counted(lines, twice, ["l1", "l2"]).distinct(), "repeated"), ["l1", "l2"], stage)]
     stage.drop(lines)
     while not out[-1].isEmpty():
         a, step = out[-1], 1 << (len(out) - 1)
@@ -106,7 +121,7 @@ def dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     min_lines or more repeated lines is deleted wherever an earlier copy of
     it exists, in document order (doc_id, nulls last, then position); copies
     are judged on the input.  n_runs and longest_run are of the maximal runs, which may
-overlap; longest_gap is the longest stretch of lines deleted in a row.  kept is null if nothing was left of the text or
+    overlap; longest_gap is the longest stretch of lines deleted in a row.  kept is null if nothing was left of the text or
     if it was null, a null text has no lines, an empty one has one.  Rows
     alike in doc_id and text are one document.  An empty table gives no
     rows.  Other columns are passed on, but for the names doc, key, runs,

@@ -472,6 +472,16 @@ def test_line_runs(spark, docs, texts):
         assert (r.n_lines, r.n_removed, r.n_runs, r.longest_run, r.kept) == runs(own, 2)[r.doc_id]
 
 
+def test_frequent_and_rare_keys_join_alike(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN -1 ELSE id DIV 4 END AS k")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    keyed = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
+    assert keyed.where(F.col("n") * line_runs.HOT < 5000).count() and keyed.where(F.col("n") * line_runs.HOT >= 5000).count()
+    got = sorted(map(tuple, line_runs.join_counted(rows, keyed, ["k"]).collect()))
+    assert got == sorted(map(tuple, rows.join(keyed, "k").drop("n").collect()))
+
+
 def test_lines_of_awkward_rows(awkward, nothing):
     rows = line_runs.dedup(awkward, 1).collect()
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in rows}
