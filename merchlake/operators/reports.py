@@ -28,13 +28,19 @@ def null_rates(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return row.select("_n", F.inline(parts)).select("field", "nulls", F.round(100.0 * F.try_divide("nulls", "_n"), 2).alias("pct"))
 
 
-def profile(df: DataFrame, sample: int = 120) -> DataFrame:
-    """path, dtype, fill_pct, distinct_count, sample_value of every column: one aggregation for all of them."""
+def profile(df: DataFrame, sample: int = 120, distinct_error: float | None = None) -> DataFrame:
+    """path, dtype, fill_pct, distinct_count, sample_value of every column: one aggregation for all of them.
+
+    Exact distinct counts send each row once for every column through a
+    shuffle.  With distinct_error, a relative standard deviation, sketches
+    count instead, and only one row a task is shuffled.
+    """
+    distinct = F.countDistinct if distinct_error is None else lambda c: F.approx_count_distinct(c, distinct_error)
     text = {c: (F.to_json(c) if t.startswith(("array", "struct", "map")) else F.col(f"`{c}`").cast("string")) for c, t in df.dtypes}
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(text):
         shown = F.substring(F.regexp_replace(F.min(text[c]), "[\r\n]", " "), 1, sample)
-        aggs.append(F.struct(F.lit(c).alias("path"), F.lit(dict(df.dtypes)[c]).alias("dtype"), F.count(text[c]).alias("fill"), F.countDistinct(text[c]).alias("distinct_count"), shown.alias("sample_value")).alias(f"_c{i}"))
+        aggs.append(F.struct(F.lit(c).alias("path"), F.lit(dict(df.dtypes)[c]).alias("dtype"), F.count(text[c]).alias("fill"), distinct(text[c]).alias("distinct_count"), shown.alias("sample_value")).alias(f"_c{i}"))
     row = df.agg(*aggs).select("_n", F.inline(F.array(*(f"_c{i}" for i in range(len(text))))))
     return row.select("path", "dtype", F.bround(100.0 * F.try_divide("fill", "_n"), 1).alias("fill_pct"), "distinct_count", "sample_value").orderBy("path")
 

@@ -31,6 +31,21 @@ def with_row_ids(df: DataFrame, block: Column, order: Sequence[Column], offset:
     return numbered.join(before, "_block").withColumn(name, F.col("_in") + F.col("_before") + offset).drop("_block", "_in", "_before")
 
 
+def with_sorted_row_ids(df: DataFrame, order: Sequence[Column], folder: str, offset: int = 0, name: str = "_row_id") -> DataFrame:
+    """Rows numbered from offset in a total order, by as many tasks as there are range partitions.
+
+    The rows are written to the new folder in that order, a file for each
+    partition; a row's number is its place in its file after the rows of the
+    files before.  There is one count for each file, so that side is small.
+    """
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(folder)
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    placed = df.sparkSession.read.schema(df.schema).parquet(folder).select("*", F.struct(part.alias("part"), F.col("_metadata.file_name").alias("file")).alias("_file"), F.col("_metadata.row_index").alias("_in"))
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    return placed.join(F.broadcast(before), "_file").withColumn(name, F.col("_in") + F.col("_before") + offset).drop("_file", "_in", "_before")
+
+
 def next_row_id(table: DataFrame, name: str = "_row_id") -> DataFrame:
     return table.agg((F.coalesce(F.max(name), F.lit(-1)) + 1).alias("next_row_id"))
 

@@ -8,6 +8,7 @@ upsert targets.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing as P
 from ..functions import text as X
 from ..operators import reports, rows, upserts
-from ..sources import archive, product_pages, records, web
+from ..sources import archive, product_pages, records, tables, web
 from . import history, mapping
 from . import price_drops as drops
 
@@ -39,6 +40,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one."""
+    return f"{tables.work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def decimal_round(c, n: int):
     """Rounded through a decimal, so that engines agree on ties."""
     return F.round(c.cast("decimal(24,8)"), n).cast("double")
@@ -464,6 +470,12 @@ def row_id_assign(spark, d):
     return rows.with_row_ids(table(spark, d, "events"), F.to_date("ts"), [F.col("ts"), F.col("event_id")], offset=1000).select("event_id", "_row_id")
 
 
+@query("SELECT event_id, CAST(ROW_NUMBER() OVER (ORDER BY ts DESC, event_id) - 1 AS BIGINT) AS _row_id FROM events")
+def row_id_by_range(spark, d):
+    events = table(spark, d, "events").select("event_id", "ts")
+    return rows.with_sorted_row_ids(events, [F.col("ts").desc(), F.col("event_id")], scratch(spark, "rows")).drop("ts")
+
+
 @query("SELECT COALESCE(MAX(event_id), -1) + 1 AS next_row_id FROM events")
 def row_id_next(spark, d):
     return rows.next_row_id(table(spark, d, "events"), "event_id")
@@ -654,12 +666,9 @@ def silver_history(spark, d):
 @query("SELECT event_type, COUNT(*) AS n, CAST(ROUND(CAST(SUM(value) AS DECIMAL(24, 8)), 2) AS DOUBLE) AS total FROM events GROUP BY 1")
 def stream_ingest_available_now(spark, d):
     """The events landed by a stream, twice over the same files, then summed."""
-    import uuid
-
-    from ..sources.tables import work_dir
     from ..streaming.ingest import ingest_available, landed
 
-    root = f"{work_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
+    root = scratch(spark, "stream")
     source = f"{d}/events.parquet"
     schema = spark.read.parquet(source).schema
     for _ in range(2):
@@ -704,3 +713,36 @@ def functions_in_sql(spark, d):
     sql.register(spark)
     part = table(spark, d, "part").withColumn("sized", F.concat("p_name", F.lit(" 2x"), F.col("p_size").cast("string"), F.lit(" ml")))
     return part.selectExpr("p_partkey", f"{sql.CLEAN}(p_name) AS name", f"{sql.KEY}(p_name) AS key", f"{sql.SIZE_VALUE}(sized) AS size_value", f"{sql.SIZE_UNIT}(sized) AS size_unit")
+
+
+@query("""SELECT page_id, 'category/site_a/2024-03-01/7_yuz_bakimi/' || sha256(html) || '.html' AS name, sha256(html) AS content_hash, length(html) % 5 AS page, html AS text FROM pages WHERE html IS NOT NULL""")
+def archive_round_trip(spark, d):
+    """Pages written to an archive, then listed with contents and sidecars."""
+    pages = table(spark, d, "pages").where("html IS NOT NULL").select("page_id", F.lit("site_a").alias("site"), F.lit(7).alias("category_id"), F.lit("Yüz Bakımı").alias("category_name"), (F.length("html") % 5).alias("page"), F.lit(200).alias("http_status"), F.lit("2024-03-01 10:00:00").cast("timestamp").alias("fetch_timestamp"), F.col("html").cast("binary").alias("content"), F.lit("html").alias("extension"))
+    root = scratch(spark, "archive")
+    archive.write_pages(pages, root)
+    cut = lambda c: F.regexp_extract(c, "category/.*$", 0)
+    read = archive.contents(spark, root).select(cut(F.col("name")).alias("name"), "text")
+    told = archive.sidecars(spark, root).select(F.col("content_hash").alias("told"), F.col("page").alias("told_page"))
+    both = archive.named(pages).select("page_id", "name", "content_hash", "page").join(read, "name")
+    return both.join(told.distinct(), (both.content_hash == told.told) & (both.page == told.told_page)).select("page_id", "name", "content_hash", "page", "text")
+
+
+@query("SELECT p_partkey, p_size AS size, p_brand AS brand FROM part WHERE p_size > 10")
+def json_lines_landed(spark, d):
+    """Rows landed as JSON lines and read with the schema that the whole files show."""
+    root = scratch(spark, "lines")
+    part = table(spark, d, "part")
+    part.select("p_partkey", F.struct(F.col("p_size").alias("size"), F.col("p_brand").alias("brand")).alias("info")).write.json(root)
+    return records.json_lines(spark, root).where("info.size > 10").select("p_partkey", F.col("info.size").cast("int").alias("size"), F.col("info.brand").alias("brand"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice + 1 FROM orders WHERE o_orderstatus = 'O'")
+def table_versions(spark, d):
+    """A table swapped twice, the second version made from the first."""
+    path = scratch(spark, "table")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    tables.swap(orders.where("o_orderstatus <> 'P'"), path)
+    old = tables.read(spark, path)
+    tables.swap(upserts.replace_by_keys(old, old.where("o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"]), path)
+    return tables.read(spark, path, ["o_orderkey", "o_orderstatus", "o_totalprice"])

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parsing import path_segment
+from ..functions.text import slugify
 
 #: Fixed value: the ending of the JSON files that lie beside archived pages.
 SIDECAR = ".meta.json"
@@ -42,6 +47,39 @@ def object_name(site: Column, date: Column, folder: Column, digest: Column, exte
     return F.concat(F.lit("category/"), F.concat_ws("/", site, F.date_format(date, "yyyy-MM-dd"), folder, F.concat(digest, F.lit("." + extension))))
 
 
+def named(pages: DataFrame) -> DataFrame:
+    """Adds name and content_hash to fetched pages: the SHA-256 of the content, in a folder of the category's id and slug."""
+    digest = F.sha2("content", 256)
+    folder = F.concat_ws("_", F.col("category_id").cast("string"), slugify(F.col("category_name")))
+    return pages.withColumns({"content_hash": digest, "name": object_name(F.col("site"), F.to_date("fetch_timestamp"), folder, digest, "{}")}).withColumn("name", F.replace("name", F.lit("{}"), F.col("extension")))
+
+
+def write_pages(pages: DataFrame, root: str, version: str = "1") -> int:
+    """Write pages and their sidecars below root; the number of pages written.
+
+    pages: site, category_id, category_name, page, http_status,
+    fetch_timestamp, content (binary), extension.  Each task writes its own
+    rows.  A name follows from the content, so a task that runs again writes
+    the same files; of equal pages of one day and category the last written
+    sidecar stays.  Null contents are left out.
+    """
+    told = ("fetch_timestamp", "site", "category_id", "category_name", "page", "plugin_version", "http_status", "content_hash")
+    meta = F.to_json(F.struct(*told), {"ignoreNullFields": "false"})
+    rows = named(pages.where("content IS NOT NULL")).withColumn("plugin_version", F.lit(version)).select("name", "content", meta.alias("meta"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = fs.FileSystem.from_uri(root)
+        for b in batches:
+            for name, content, about in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                files.create_dir(f"{base}/{name.rpartition('/')[0]}", recursive=True)
+                for path, data in ((name, content), (name + SIDECAR, about.encode())):
+                    with files.open_output_stream(f"{base}/{path}") as out:
+                        out.write(data)
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    return rows.mapInArrow(put, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def unseen(objects: DataFrame, ledger: DataFrame) -> DataFrame:
     """Objects that the ledger lacks, by name and time of change: an object written anew is new."""
     return objects.join(ledger.select(F.col("object_name").alias("name"), "modified"), ["name", "modified"], "left_anti")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import gzip
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,3 +239,32 @@ def test_mass_events_of_null_groups(spark):
     got = {r.pct_drop: r.kind for r in drops.mass_events(df, "g", 1).collect()}
     assert got == {1: "summary", 2: "summary", 3: "summary", 4: "summary", 5: "individual"}
     assert [r.pct_drop for r in drops.report(df, ["g"]).collect()] == [5, 4, 3, 2, 1]
+
+
+def test_pages_are_archived_under_their_content(spark, tmp_path):
+    row = ("site_a", 7, "Yüz & Göz", 1, 200, dt.datetime(2024, 3, 1, 10), b"\xff{}", "json")
+    columns = "site string, category_id int, category_name string, page int, http_status int, fetch_timestamp timestamp, content binary, extension string"
+    pages = spark.createDataFrame([row, (*row[:6], None, "json")], columns)
+    root = "file://" + str(tmp_path)
+    assert archive.write_pages(pages, root) == archive.write_pages(pages, root) == 1
+    (file,) = tmp_path.rglob("*.json.meta.json")
+    page = file.with_name(file.name.removesuffix(archive.SIDECAR))
+    assert page.read_bytes() == b"\xff{}" and page.stem == hashlib.sha256(b"\xff{}").hexdigest()
+    assert page.relative_to(tmp_path).parts[:4] == ("category", "site_a", "2024-03-01", "7_yuz_goz")
+    told = archive.sidecars(spark, root).first()
+    assert (told.content_hash, told.page, told.http_status, told.category_name) == (page.stem, 1, 200, "Yüz & Göz")
+    assert archive.contents(spark, root).count() == 1
+    assert archive.write_pages(pages.where("false"), root) == 0
+
+
+def test_sorted_row_ids(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "id * 7919 % 1000 AS x")
+    ids = rows.with_sorted_row_ids(df, [F.col("x").desc()], str(tmp_path / "ids"), 10).collect()
+    assert len(ids) == 1000 and all(r._row_id == 10 + 999 - r.x for r in ids)
+    assert rows.with_sorted_row_ids(df.where("false"), [F.col("x")], str(tmp_path / "none")).count() == 0
+
+
+def test_profile_by_sketches(spark):
+    df = spark.range(1000).selectExpr("id", "id % 10 AS few")
+    got = {r.path: r.distinct_count for r in reports.profile(df, distinct_error=0.02).collect()}
+    assert got["few"] == 10 and abs(got["id"] - 1000) < 100
