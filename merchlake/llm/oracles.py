@@ -59,4 +59,40 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 """
 
 
-ORACLE = {"op2_substrings": SUBSTRINGS, "op3_quality_rules": quality(), "op6_line_runs": LINES}
+def resampling(buckets: int = 10_000, seed: int = 2024, percent: int = 10, least_words: int = 20) -> str:
+    found = r"regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    # CRC-32 by its definition: a table of the 256 remainders, then one byte after the other; each word once
+    return rf"""
+WITH r AS (SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) AS v FROM range(256) t(i)),
+tab AS (SELECT list(v ORDER BY i) AS t FROM r),
+d AS MATERIALIZED (SELECT ROW_NUMBER() OVER () AS row, doc_id, {found} AS ws FROM documents),
+f AS MATERIALIZED (SELECT row, unnest(ws) AS w FROM d), b AS MATERIALIZED (SELECT unnest({found}) AS w FROM benchmark),
+x AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM f UNION SELECT w FROM b)),
+v AS MATERIALIZED (SELECT w, xor(list_reduce(list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)), lambda a, c: xor(t[xor(a, c) % 256 + 1], a // 256), 4294967295), 4294967295) % {buckets} AS bucket FROM x, tab),
+s AS (SELECT bucket, COUNT(*) AS s FROM f JOIN v USING (w) GROUP BY 1), t AS (SELECT bucket, COUNT(*) AS t FROM b JOIN v USING (w) GROUP BY 1),
+g AS MATERIALIZED (SELECT bucket, CAST(floor(1000 * ln((COALESCE(t, 0) + 1.0::DOUBLE) * ((SELECT COUNT(*) FROM f) + {buckets}.0::DOUBLE) / ((s + 1.0::DOUBLE) * ((SELECT COUNT(*) FROM b) + {buckets}.0::DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT row, CAST(SUM(gain) AS BIGINT) AS weight FROM f JOIN v USING (w) JOIN g USING (bucket) GROUP BY 1),
+o AS (SELECT doc_id, len(ws) AS n_features, COALESCE(weight, 0) AS weight, COALESCE(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{seed}:' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN w ON w.row = d.row),
+k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n_features >= {least_words} ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, COUNT(*) FILTER (n_features >= {least_words}) OVER () * {percent} // 100 AS drawn FROM o)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN n_features >= {least_words} AND place <= drawn THEN place END AS rank FROM k
+"""
+
+
+def vector_codes(scale: int = 1024, parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    # whole numbers in doubles: products and sums stay below 2**53
+    assign = """a{i} AS MATERIALIZED (SELECT row, x.p, MIN({{'d': xx - 2 * list_inner_product(x.x, b.c) + list_inner_product(b.c, b.c), 'e': b.e}}) AS m FROM x JOIN b{i} b ON b.p = x.p GROUP BY 1, 2)"""
+    update = """b{j} AS MATERIALIZED (SELECT b.p, b.e, COALESCE(m.c, b.c) AS c FROM b{i} b LEFT JOIN (SELECT p, e, list(q ORDER BY k) AS c FROM (SELECT p, e, k, floor(SUM(y) / COUNT(*)) AS q FROM (SELECT x.p, a.m.e AS e, unnest(x.x) AS y, unnest(range(len(x.x))) AS k FROM x JOIN a{i} a ON a.row = x.row AND a.p = x.p) GROUP BY 1, 2, 3) GROUP BY 1, 2) m ON m.p = b.p AND m.e = b.e)"""
+    steps = ",\n".join(f"{assign.format(i=i)},\n{update.format(i=i, j=i + 1)}" for i in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (SELECT ROW_NUMBER() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * {scale})) AS v FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(embedding) > 0),
+x AS MATERIALIZED (SELECT row, p, x, list_inner_product(x, x) AS xx FROM (SELECT row, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM v, range({parts}) t(p))),
+b0 AS MATERIALIZED (SELECT p, row - 1 AS e, x AS c FROM x WHERE row <= {entries}),
+{steps},
+{assign.format(i=rounds)},
+c AS (SELECT row, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(SUM(m.d) AS BIGINT) AS error FROM a{rounds} GROUP BY 1)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: CAST(y AS BIGINT)), ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256 FROM v JOIN c USING (row)
+"""
+
+
+ORACLE = {"op2_substrings": SUBSTRINGS, "op3_quality_rules": quality(), "op6_line_runs": LINES, "op11_resampling": resampling(), "op12_vector_codes": vector_codes()}

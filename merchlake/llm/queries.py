@@ -83,6 +83,24 @@ def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op4_neighbours, op5_languages, op6_line_runs, op7_packing, op8_token_counts, op9_graded_quality, op10_piece_tokens)}
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import resample
+
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import codes
+
+    return codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixture_packing import pack
+
+    return pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), 2048, 1)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_duplicates, op2_substrings, op3_quality_rules, op4_neighbours, op5_languages, op6_line_runs, op7_packing, op8_token_counts, op9_graded_quality, op10_piece_tokens, op11_resampling, op12_vector_codes, op13_mixture_packing)}
 
 __all__ = ["ORACLE", "QUERIES"]
