@@ -60,6 +60,45 @@ def sessions(df: DataFrame, keys: Sequence[str], when: str, gap: str, ties: Sequ
     return marked.withColumn("session_end", F.max(when).over(Window.partitionBy(*keys, "session")))
 
 
+def sessions_by_range(df: DataFrame, keys: Sequence[str], when: str, gap: str, folder: str, ties: Sequence[str] = ()) -> DataFrame:
+    """As ``sessions``, but no key needs one task: one may hold all rows.
+
+    The rows are written to the new folder, range-partitioned by key and time.  Each
+    key's rows are cut into sessions within each range; a table of edges, with
+    one row for each range and key, says which ranges' first session goes on with the
+    last one before, and so how many sessions come before a range and when those at its
+    edges end.  The windows over rows are bounded by a range, those over
+    edges by the number of ranges.
+    """
+    order = [*keys, when, *ties]
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(folder)
+    rows = df.sparkSession.read.schema(df.withColumn("_range", F.lit(0)).schema).parquet(folder)
+    own = Window.partitionBy("_range", *keys)
+    in_order = own.orderBy(when, *ties)
+    pause = F.expr(f"INTERVAL {gap}")
+    before = F.lag(when).over(in_order)
+    opened = F.when(before.isNull() | (F.col(when) - before > pause), 1).otherwise(0)
+    cut = rows.withColumn("_open", opened).withColumn("_local", F.sum("_open").over(in_order.rowsBetween(Window.unboundedPreceding, 0))).drop("_open")
+    cut = cut.withColumn("_end", F.max(when).over(Window.partitionBy("_range", *keys, "_local")))
+
+    # edges: first and last time, the number of sessions and when the first one ends
+    edges = cut.groupBy("_range", *keys).agg(F.min(when).alias("_from"), F.max(when).alias("_to"), F.max("_local").alias("_n"), F.min("_end").alias("_first_end"))
+    along = Window.partitionBy(*keys).orderBy("_range")
+    went_on = F.coalesce(F.col("_from") - F.lag("_to").over(along) <= pause, F.lit(False))
+    edges = edges.withColumn("_on", went_on.cast("int")).withColumn("_before", F.sum(F.col("_n") - F.col("_on")).over(along) - F.col("_n"))
+    # the sessions at both edges, which others may share: they end with the last of them
+    both = F.array(F.struct(F.lit(1).alias("_k"), F.col("_first_end").alias("_last")), F.struct(F.col("_n").alias("_k"), F.col("_to").alias("_last")))
+    shared = edges.select("_range", *keys, "_n", "_before", F.inline(both)).withColumn("_true", F.max("_last").over(Window.partitionBy(*keys, F.col("_before") + F.col("_k"))))
+    told = shared.groupBy("_range", *keys, "_n", "_before").agg(F.max(F.when(F.col("_k") == 1, F.col("_true"))).alias("_first_true"), F.max(F.when(F.col("_k") == F.col("_n"), F.col("_true"))).alias("_last_true"))
+    names = {k: f"_edge_{i}" for i, k in enumerate(["_range", *keys])}
+    same = F.lit(True)
+    for k, n in names.items():
+        same &= F.col(k).eqNullSafe(F.col(n))
+    end = F.when(F.col("_local") == F.col("_n"), F.col("_last_true")).when(F.col("_local") == 1, F.col("_first_true")).otherwise(F.col("_end"))
+    out = cut.join(told.withColumnsRenamed(names), same)
+    return out.select(*(F.col(f"`{c}`") for c in df.columns), (F.col("_before") + F.col("_local")).alias("session"), end.alias("session_end"))
+
+
 def run_stamps(objects: DataFrame, site: str = "site", when: str = "modified", gap: str = "15 MINUTES", run_time=None) -> DataFrame:
     """Adds run_at: the end of the object's session, or run_time where the whole backlog of a site is one session."""
     out = sessions(objects, [site], when, gap, ["name"])

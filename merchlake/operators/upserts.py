@@ -7,15 +7,27 @@ a folder is never overwritten while it is read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def replace_by_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of old whose key is in new go, null keys too; all rows of new come. Applying it twice changes nothing."""
-    return old.join(*_same(new, keys), "left_anti").unionByName(new)
+    return not_in(old, new, keys).unionByName(new)
+
+
+def not_in(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key others lack; null keys are keys."""
+    return rows.join(*_same(others, keys), "left_anti")
+
+
+def difference(some: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of some that others lack; null keys are keys."""
+    return not_in(some.select(*keys).distinct(), others, keys)
 
 
 def _same(new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -71,7 +83,7 @@ def with_surrogate(df: DataFrame, keys: Sequence[str], name: str = "id") -> Data
 
 
 def sync_activity(existing: DataFrame, current: DataFrame, now: Column, key: str = "url", most_stale: float = 0.5) -> DataFrame:
-    """A snapshot diff: new keys come in, missing ones turn inactive, the others are seen again.
+    """A snapshot diff: new keys come in, the others are seen again; active ones that are missing turn inactive, which sets last_seen_at too.
 
     If existing has active rows and current is empty, or more than most_stale
     of the active rows are missing from it, the batch is refused and existing
@@ -90,7 +102,7 @@ def sync_activity(existing: DataFrame, current: DataFrame, now: Column, key: str
         .select(
             key,
             F.when(F.col("_old"), F.col("first_seen_at")).otherwise(now).alias("first_seen_at"),
-            F.when(~keep & F.col("_seen"), now).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+            F.when(~keep & (F.col("_seen") | active), now).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
             F.when(keep, F.col("is_active")).otherwise(F.col("_seen")).alias("is_active"),
         )
     )
@@ -103,5 +115,43 @@ def changed_hashes(new: DataFrame, last: DataFrame, key: str, digest: str) -> Da
 
 
 def set_hash(df: DataFrame, keys: Sequence[str], value: str, name: str = "content_hash") -> DataFrame:
-    """SHA-256 of each group's distinct values in order, joined by line feeds."""
-    return df.groupBy(*keys).agg(F.sha2(F.array_join(F.sort_array(F.collect_set(value)), "\n"), 256).alias(name))
+    """SHA-256 of each group's distinct values in order, joined by line feeds; nulls do not count, a group of nulls has the hash of nothing.
+
+    The values of a group come in order to one task, which keeps a running
+    digest and never the values: a group may be larger than memory.
+    """
+    rows = df.select(*keys, F.col(value).cast("string").alias("_value")).distinct()
+    kinds = ", ".join(f"`{k}` {t}" for k, t in rows.dtypes if k != "_value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, begun = None, None, False
+        told: list[tuple] = []
+        schema = None
+
+        def flush() -> pa.RecordBatch:
+            cols = zip(*told, strict=True) if told else [()] * (len(keys) + 1)
+            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+            told.clear()
+            return out
+
+        for b in batches:
+            schema = schema or pa.schema([*(b.schema.field(k) for k in keys), pa.field(name, pa.string())])
+            parts = zip(*(b.column(k).to_pylist() for k in keys), strict=True) if keys else ((),) * b.num_rows
+            for key, x in zip(parts, b.column("_value").to_pylist(), strict=True):
+                if held is None or key != now:
+                    if held is not None:
+                        told.append((*now, held.hexdigest()))
+                    now, held, begun = key, hashlib.sha256(), False
+                if x is not None:
+                    held.update((("\n" if begun else "") + x).encode())
+                    begun = True
+            if len(told) >= 10_000:
+                yield flush()
+        if held is not None:
+            told.append((*now, held.hexdigest()))
+        if told:
+            yield flush()
+
+    order = [*keys, "_value"]
+    dealt = rows.repartition(*keys) if keys else rows.coalesce(1)
+    return dealt.sortWithinPartitions(*order).mapInArrow(run, f"{kinds}, `{name}` string" if keys else f"`{name}` string")

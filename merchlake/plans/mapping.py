@@ -90,19 +90,19 @@ def spec_of(entry: Mapping[str, Any]) -> Spec:
     return {kind: value} | ({"unit": "minor"} if entry.get("unit") in MINOR_UNITS else {})
 
 
-def mapping_files(spark: SparkSession, folder: str, key: str = "field_mapping") -> dict[str, dict[str, Spec]]:
+def mapping_files(spark: SparkSession, folder: str, key: str = "field_mapping", endings: tuple[str, ...] = ("json", "yaml", "yml")) -> dict[str, dict[str, Spec]]:
     """The mappings in a folder of JSON or YAML files, by file name without its ending; files without the key are no sources.
 
-    Files are read through Spark, so the folder may be in any store; YAML needs the package yaml.
+    Only .yaml and .yml files are YAML.  Files are read through Spark, so the folder may be in any store; YAML needs the package yaml.
     """
     found = {}
-    for name, text in sorted(spark.read.text(folder, wholetext=True, pathGlobFilter="*.{json,yaml,yml}").select(F.input_file_name(), "value").collect()):
-        if name.endswith(".json"):
-            config = json.loads(text)
-        else:
+    for name, text in sorted(spark.read.text(folder, wholetext=True, pathGlobFilter="*.{" + ",".join(endings) + "}").select(F.input_file_name(), "value").collect()):
+        if name.endswith((".yaml", ".yml")):
             import yaml
 
             config = yaml.safe_load(text)
+        else:
+            config = json.loads(text)
         if config and config.get(key):
             found[name.rpartition("/")[2].rpartition(".")[0]] = {field: spec_of(e or {"none": True}) for field, e in config[key].items()}
     return found

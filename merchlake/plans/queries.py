@@ -8,9 +8,6 @@ upsert targets.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,34 +17,9 @@ from ..operators import reports, rows, upserts
 from ..sources import archive, product_pages, records, tables, web
 from . import history, mapping
 from . import price_drops as drops
+from .registry import ORACLE, QUERIES, decimal_round, query, scratch, table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def keep(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return keep
-
-
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared one."""
-    return f"{tables.work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def decimal_round(c, n: int):
-    """Rounded through a decimal, so that engines agree on ties."""
-    return F.round(c.cast("decimal(24,8)"), n).cast("double")
+__all__ = ["ORACLE", "QUERIES"]
 
 
 # --- price drops -------------------------------------------------------------
@@ -140,7 +112,7 @@ def anti_join_ledger(spark, d):
 @query("SELECT DISTINCT url FROM pages EXCEPT SELECT url FROM pages WHERE html LIKE '%&amp;%'")
 def set_difference_urls(spark, d):
     pages = table(spark, d, "pages")
-    return pages.select("url").distinct().join(pages.where(F.col("html").contains("&amp;")).select("url").distinct(), "url", "left_anti")
+    return upserts.difference(pages, pages.where(F.col("html").contains("&amp;")), ["url"])
 
 
 # --- table maintenance -----------------------------------------------------------
@@ -254,8 +226,7 @@ def priority_case_price(spark, d):
     x = F.col("l_extendedprice")
     card = F.when(F.col("l_returnflag") == "A", (x * 0.7).cast("string")).when(F.col("l_returnflag") == "N", "").try_cast("double")
     tier = F.when(F.col("l_linestatus") == "O", (x * 0.9).cast("string")).otherwise("0.000000").try_cast("double")
-    usable = lambda c: F.when((c > 0) & (c < x), c)
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.coalesce(usable(card), usable(tier)).alias("price"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", P.first_below(x, card, tier).alias("price"))
 
 
 @query(
@@ -264,22 +235,21 @@ def priority_case_price(spark, d):
 )
 def coalesce_list_filter_first(spark, d):
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").alias("value"), F.col("l_returnflag").alias("source")))).alias("prices"))
-    member = F.get(F.filter("prices", lambda x: x["source"] == "R"), F.lit(0))["value"]
+    member = P.first_with(F.col("prices"), "source", "R")["value"]
     o = table(spark, d, "orders")
     return o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select("o_orderkey", F.coalesce(member, "o_totalprice").alias("price"), F.array_size("prices").cast("long").alias("n"))
 
 
 @query("SELECT p_partkey, w[1] AS first_word, w[9] AS ninth_word, array_to_string(w[1:-2], ' > ') AS path, len(w) AS n FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)")
 def array_index_slice_join(spark, d):
-    w = F.split("p_name", " ", -1)
-    dropped = F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))
-    return table(spark, d, "part").select("p_partkey", F.get(w, F.lit(0)).alias("first_word"), F.get(w, F.lit(8)).alias("ninth_word"), F.array_join(dropped, " > ").alias("path"), F.array_size(w).cast("long").alias("n"))
+    w = P.split_list(F.col("p_name"), " ")
+    return table(spark, d, "part").select("p_partkey", P.element(w, 0).alias("first_word"), P.element(w, 8).alias("ninth_word"), P.without_last(w).alias("path"), F.array_size(w).cast("long").alias("n"))
 
 
 @query("SELECT p_partkey, array_to_string(string_split(e, ','), '|') AS eans, len(string_split(e, ',')) AS n FROM (SELECT p_partkey, CASE WHEN p_size > 40 THEN '' ELSE lpad(CAST(p_partkey AS VARCHAR), 13, '0') || ',' || p_brand || ',' END AS e FROM part)")
 def ean_split_list(spark, d):
     e = F.when(F.col("p_size") > 40, "").otherwise(F.concat(F.lpad(F.col("p_partkey").cast("string"), 13, "0"), F.lit(","), "p_brand", F.lit(",")))
-    parts = F.split(e, ",", -1)
+    parts = P.split_list(e)
     return table(spark, d, "part").select("p_partkey", F.array_join(parts, "|").alias("eans"), F.array_size(parts).cast("long").alias("n"))
 
 
@@ -323,7 +293,7 @@ def provenance_path_split(spark, d):
 
 @query("SELECT p_partkey, replace(regexp_replace(p_type, ' [A-Z]+$', ''), ' ', ' > ') AS path FROM part")
 def regexp_strip_category(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.replace(F.regexp_replace("p_type", r" [A-Z]+\z", ""), F.lit(" "), F.lit(" > ")).alias("path"))
+    return table(spark, d, "part").select("p_partkey", P.category_text(F.col("p_type"), " [A-Z]+").alias("path"))
 
 
 @query()
@@ -374,7 +344,11 @@ def slugify(spark, d):
     return table(spark, d, "part").select("p_partkey", X.slugify(F.concat("p_type", F.lit(" & "), "p_brand")).alias("slug"))
 
 
-_PLAIN = r"regexp_replace(regexp_replace(html, '<br\s*/?>|</p>|<p[^>]*>|</h[1-6]>|<h[1-6][^>]*>|</div>|<div[^>]*>', chr(10), 'gi'), '<[^>]+>', '', 'g')"
+# cut before each tag; its text up to the first > is dropped, and a line ends where its name says so
+_NAMES = "'br', 'br/', 'br /', '/p', '/div', '/h1', '/h2', '/h3', '/h4', '/h5', '/h6'"
+_TAG = "lower(split_part(x, '>', 1))"
+_ENDS = f"({_TAG} IN ({_NAMES}) OR starts_with({_TAG}, 'p') OR starts_with({_TAG}, 'div') OR substr({_TAG}, 1, 2) IN ('h1', 'h2', 'h3', 'h4', 'h5', 'h6'))"
+_PLAIN = f"array_to_string(list_transform(string_split(html, '<'), lambda x, i: CASE WHEN i = 1 THEN x WHEN contains(x, '>') THEN CASE WHEN {_ENDS} THEN chr(10) ELSE '' END || substr(x, strpos(x, '>') + 1) ELSE '<' || x END), '')"
 for _entity, _sign in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):  # those that the pages hold
     _PLAIN = f"replace({_PLAIN}, '&{_entity};', '{_sign}')"
 _BLANK = r"[\s\x0b]"
@@ -388,11 +362,12 @@ def html_to_plain_text(spark, d):
     return table(spark, d, "pages").select("page_id", X.html_to_plain_text(F.col("html")).alias("plain"))
 
 
-@query("SELECT p_partkey, p_brand AS seller, CASE WHEN p_size <= 25 THEN p_type || ' & ü' END AS kind, 2 AS n, 'Acme & Co' AS maker FROM part".replace("2 AS n", "3 AS n"))
+@query("SELECT p_partkey, p_brand AS seller, CASE WHEN p_size <= 25 THEN p_type || ' & ü' END AS kind, 4 AS n, 'Acme & Co' AS maker, 'İpek ' || p_brand AS importer FROM part")
 def html_label_value_map(spark, d):
-    blob = F.concat(F.lit("<b>Seller:</b> first<br><B>Seller:</B> "), "p_brand", F.lit(" <br/><b>Kind:</b> "), F.when(F.col("p_size") <= 25, F.concat("p_type", F.lit(" &amp; &uuml;"))).otherwise(""), F.lit("<br><b>A &amp; B:</b> Acme &amp; Co<br>junk"))
+    kind = F.when(F.col("p_size") <= 25, F.concat("p_type", F.lit(" &amp; &uuml;"))).otherwise("")
+    blob = F.concat(F.lit("<b>Seller:</b> first<br><B>Seller:</B> "), "p_brand", F.lit(" <br/><b>Kind:</b> "), kind, F.lit("<br><b>A &amp; B:</b> Acme &amp; Co<BR/><b>İthal İçin:</b> İpek "), "p_brand", F.lit("<br>junk"))
     m = X.label_values(blob)
-    return table(spark, d, "part").select("p_partkey", m.alias("m")).select("p_partkey", F.col("m")["Seller"].alias("seller"), F.col("m")["Kind"].alias("kind"), F.size("m").alias("n"), F.col("m")["A & B"].alias("maker"))
+    return table(spark, d, "part").select("p_partkey", m.alias("m")).select("p_partkey", F.col("m")["Seller"].alias("seller"), F.col("m")["Kind"].alias("kind"), F.size("m").alias("n"), F.col("m")["A & B"].alias("maker"), F.col("m")["İthal İçin"].alias("importer"))
 
 
 @query(
@@ -564,14 +539,14 @@ def caption_text(spark, d):
 def _snapshots(spark: SparkSession, d: str, current: str) -> tuple[DataFrame, DataFrame]:
     pages = table(spark, d, "pages").select("url", "html")
     t = F.lit("2024-01-01").cast("timestamp_ntz")
-    old = pages.where(~F.col("html").contains("&amp;")).select("url").distinct().select("url", t.alias("first_seen_at"), t.alias("last_seen_at"), F.lit(True).alias("is_active"))
+    old = pages.where(~F.col("html").contains("&amp;")).select("url").distinct().select("url", t.alias("first_seen_at"), t.alias("last_seen_at"), (F.length("url") % 5 != 0).alias("is_active"))
     return old, pages.where(current).select("url")
 
 
 _T = "TIMESTAMP '2024-01-01 00:00:00'"
 _NOW = "TIMESTAMP '2024-02-01 00:00:00'"
-_SNAP = """o AS (SELECT DISTINCT url FROM pages WHERE NOT contains(html, '&amp;')), c AS (SELECT DISTINCT url FROM pages WHERE {current})"""
-_DIFF = f"""SELECT COALESCE(o.url, c.url) AS url, CASE WHEN o.url IS NOT NULL THEN {_T} ELSE {_NOW} END AS first_seen_at, CASE WHEN c.url IS NOT NULL THEN {_NOW} ELSE {_T} END AS last_seen_at, c.url IS NOT NULL AS is_active FROM o FULL JOIN c ON o.url = c.url"""
+_SNAP = """o AS (SELECT DISTINCT url, length(url) % 5 <> 0 AS was FROM pages WHERE NOT contains(html, '&amp;')), c AS (SELECT DISTINCT url FROM pages WHERE {current})"""
+_DIFF = f"""SELECT COALESCE(o.url, c.url) AS url, CASE WHEN o.url IS NOT NULL THEN {_T} ELSE {_NOW} END AS first_seen_at, CASE WHEN c.url IS NOT NULL OR was THEN {_NOW} ELSE {_T} END AS last_seen_at, c.url IS NOT NULL AS is_active FROM o FULL JOIN c ON o.url = c.url"""
 
 
 @query(f"WITH {_SNAP.format(current='length(html) > 600')} {_DIFF}")
@@ -579,18 +554,30 @@ def url_diff_soft_delete(spark, d):
     return upserts.sync_activity(*_snapshots(spark, d, "length(html) > 600"), F.lit("2024-02-01").cast("timestamp_ntz"))
 
 
-@query(f"SELECT DISTINCT url, {_T} AS first_seen_at, {_T} AS last_seen_at, true AS is_active FROM pages WHERE NOT contains(html, '&amp;')")
+@query(f"SELECT DISTINCT url, {_T} AS first_seen_at, {_T} AS last_seen_at, length(url) % 5 <> 0 AS is_active FROM pages WHERE NOT contains(html, '&amp;')")
 def snapshot_guard_blocks(spark, d):
     return upserts.sync_activity(*_snapshots(spark, d, "contains(html, 'no page has this')"), F.lit("2024-02-01").cast("timestamp_ntz"))
 
 
-_ROBOTS = "User-agent: Foo\\nDisallow: /foo\\nUser-agent: *\\nUser-agent: Bar\\nDisallow: /x  # note\\nAllow: /y\\nSitemap: https://e.com/s.xml\\nUser-agent: Baz\\nDisallow: /z"
+_HOSTS = "(SELECT string_split(url, '/')[3] AS host, COUNT(*) AS n, MAX(page_id) AS m FROM pages GROUP BY 1)"
 
 
-@query("SELECT DISTINCT string_split(url, '/')[3] AS host, kind, value FROM pages, (VALUES ('disallow', '/x'), ('allow', '/y'), ('sitemap', 'https://e.com/s.xml')) v(kind, value)")
+@query(
+    f"""SELECT host, kind, value FROM (SELECT *, n % 3 AS kind_of FROM {_HOSTS}) h, LATERAL (VALUES
+    ('disallow', '/a' || n, kind_of = 0), ('allow', '/b' || m, kind_of <= 1), ('disallow', '/c', kind_of = 1), ('disallow', '/x', kind_of = 2 AND m % 2 = 0),
+    ('sitemap', 'https://' || host || '/s.xml', true), ('sitemap', 'https://' || host || '/late.xml', kind_of = 0)) v(kind, value, holds) WHERE holds"""
+)
 def robots_parse(spark, d):
-    hosts = table(spark, d, "pages").select(P.path_segment(F.col("url"), 2).alias("host")).distinct()
-    return web.robots(hosts.withColumn("text", F.lit(_ROBOTS.replace("\\n", "\n")))).select("host", "kind", "value")
+    """Robots files of three kinds for the hosts of the pages, with other directives between agents and rules."""
+    h = table(spark, d, "pages").groupBy(P.path_segment(F.col("url"), 2).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("m"))
+    lines = (
+        # the delay ends the agents, so what the bot may not do is its own
+        F.when(F.col("n") % 3 == 0, F.format_string("User-agent: *\nCrawl-delay: 5\nDisallow: /a%d # note\n\tAllow:\t/b%d\nDisallow:\nUser-Agent: bot\nDisallow: /own\nSitemap: https://%s/late.xml\n", "n", "m", "host"))
+        # a sitemap between two agents parts them; two agents in a row are one group
+        .when(F.col("n") % 3 == 1, F.format_string("Disallow: /none\nUser-agent: bot\nUSER-AGENT : *\nAllow: /b%d\nHost: x\nDisallow: /c\r\nnothing here\nUser-agent: other\nDisallow: /d\n", "m"))
+        .otherwise(F.concat(F.lit("User-agent: *\nSitemap:\nUser-agent: bot\n"), F.when(F.col("m") % 2 == 0, "User-agent: *\n").otherwise(""), F.lit("Disallow: /x\n")))
+    )
+    return web.robots(h.select("host", F.concat(lines, F.lit("sitemap: https://"), "host", F.lit("/s.xml")).alias("text"))).select("host", "kind", "value")
 
 
 @query(
@@ -616,16 +603,8 @@ def sitemap_locations(spark, d):
 @query("SELECT host, COUNT(*) AS urls, COUNT(*) FILTER (active) AS active, COUNT(*) FILTER (NOT active) AS passive FROM (SELECT string_split(url, '/')[3] AS host, NOT contains(html, '&amp;') AS active FROM pages) GROUP BY 1")
 def discovered_urls_sync(spark, d):
     pages = table(spark, d, "pages").select("url", P.path_segment(F.col("url"), 2).alias("host"), (~F.col("html").contains("&amp;")).alias("is_active"))
-    snapshots = pages.select("host").distinct().select(F.xxhash64("host").alias("snapshot_id"), "host")
-    urls = pages.select("url", F.xxhash64("host").alias("snapshot_id"), "is_active")
-    return urls.join(snapshots, "snapshot_id").groupBy("host").agg(F.count(F.lit(1)).alias("urls"), F.count_if("is_active").alias("active"), F.count_if(~F.col("is_active")).alias("passive"))
-
-
-@query("SELECT host, folder, COUNT(*) AS n FROM (SELECT string_split(url, '/')[3] AS host, string_split(url, '/')[4] AS folder FROM pages) WHERE folder IS NOT NULL GROUP BY 1, 2 HAVING COUNT(*) >= 3")
-def category_discovery(spark, d):
-    """Categories found in page addresses: folders with enough children."""
-    u = F.col("url")
-    return table(spark, d, "pages").select(P.path_segment(u, 2).alias("host"), P.path_segment(u, 3).alias("folder")).where("folder IS NOT NULL").groupBy("host", "folder").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    snapshots = pages.select(F.md5("host").alias("snapshot_id"), "host")
+    return reports.activity_counts(pages.select("url", F.md5("host").alias("snapshot_id"), "is_active"), snapshots, "host")
 
 
 @query(
@@ -679,21 +658,37 @@ def stream_ingest_available_now(spark, d):
 # --- further cases of the operators ----------------------------------------------------------
 
 
-@query("SELECT i AS k, x FROM (SELECT unnest(range(20)) AS i), LATERAL (SELECT 'new' AS x) WHERE i % 3 = 0 UNION ALL SELECT i, 'old' FROM (SELECT unnest(range(20)) AS i) WHERE i % 3 <> 0 UNION ALL SELECT NULL, 'new'")
+_KEYS = "SELECT o_orderkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey % 50 END AS k, o_totalprice FROM orders"
+
+
+@query(
+    f"""WITH o AS ({_KEYS}), n AS (SELECT o_orderkey, k, o_totalprice + 1 AS o_totalprice FROM o WHERE o_totalprice > 150000 AND (k % 3 = 0 OR k IS NULL))
+    SELECT o_orderkey, k, o_totalprice FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.k IS NOT DISTINCT FROM o.k) UNION ALL SELECT * FROM n"""
+)
 def replace_null_keys(spark, d):
-    old = spark.range(20).select(F.col("id").alias("k"), F.lit("old").alias("x")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 'old' AS x"))
-    new = old.where("k % 3 = 0 OR k IS NULL").withColumn("x", F.lit("new"))
+    """Orders replaced by a key that is null for some, twice."""
+    key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey") % 50)
+    old = table(spark, d, "orders").select("o_orderkey", key.alias("k"), "o_totalprice")
+    new = old.where("o_totalprice > 150000 AND (k % 3 = 0 OR k IS NULL)").withColumn("o_totalprice", F.col("o_totalprice") + 1)
     return upserts.replace_by_keys(upserts.replace_by_keys(old, new, ["k"]), new, ["k"])
 
 
-@query("SELECT CASE WHEN i = 0 THEN 'root' ELSE 'c' || i END AS url, CAST(i AS INTEGER) AS depth FROM (SELECT unnest(range(13)) AS i) UNION ALL SELECT 'd' || i || s, CAST(i AS INTEGER) FROM (SELECT unnest(range(1, 13)) AS i), (VALUES ('a'), ('b')) v(s)")
+_LINKS = "SELECT 'c' || c_nationkey % 5 AS parent, 'n' || c_nationkey AS child FROM customer UNION SELECT 'n' || c_nationkey, 'k' || c_custkey FROM customer UNION SELECT 'k' || c_custkey, 'c' || (c_nationkey + 1) % 5 FROM customer UNION SELECT 'k' || c_custkey, 'k' || (c_custkey + 1) FROM customer WHERE c_custkey % 7 = 0"
+
+
+@query(
+    f"""WITH RECURSIVE l AS ({_LINKS}), w AS (SELECT 'c0' AS url, 0 AS depth UNION SELECT l.child, depth + 1 FROM w JOIN l ON l.parent = w.url WHERE depth < 20)
+    SELECT url, CAST(MIN(depth) AS INTEGER) AS depth FROM w GROUP BY 1"""
+)
 def sitemap_cycles_and_diamonds(spark, d):
-    """A chain with a way back to its root, and layers of two that are linked crosswise."""
-    name = lambda i, prefix, end="": "root" if i == 0 else f"{prefix}{i}{end}"
-    chain = [(name(i, "c"), name(i + 1, "c")) for i in range(12)] + [("c12", "root")]
-    layers = [(name(i, "d", a), f"d{i + 1}{b}") for i in range(12) for a in ("a", "b") for b in ("a", "b")]
-    links = spark.createDataFrame(sorted({*chain, *layers}), "parent string, child string")
-    return web.reachable(spark, links, spark.sql("SELECT 'root' AS url"))
+    """Countries, their customers and, from those, the next countries: rings, and many ways to one place."""
+    c = table(spark, d, "customer")
+    link = lambda parent, child: c.select(F.concat(*parent).alias("parent"), F.concat(*child).alias("child"))
+    ring = lambda x: (F.lit("c"), (x % 5).cast("string"))
+    nation, customer = (F.lit("n"), F.col("c_nationkey").cast("string")), (F.lit("k"), F.col("c_custkey").cast("string"))
+    links = link(ring(F.col("c_nationkey")), nation).unionByName(link(nation, customer)).unionByName(link(customer, ring(F.col("c_nationkey") + 1)))
+    links = links.unionByName(c.where("c_custkey % 7 = 0").select(F.concat(*customer).alias("parent"), F.concat(F.lit("k"), (F.col("c_custkey") + 1).cast("string")).alias("child")))
+    return web.reachable(spark, links.distinct(), spark.sql("SELECT 'c0' AS url"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size > 5 THEN 'A > ' || replace(p_type, ' ', '_') END AS path, CASE WHEN p_size > 25 THEN p_size END AS size_group, CASE WHEN p_size > 10 THEN TIMESTAMP '2024-03-01 10:20:30' END AS at FROM part")

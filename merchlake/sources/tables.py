@@ -38,6 +38,11 @@ def current(spark: SparkSession, path: str) -> str | None:
     return f"{path}/{found[-1]}" if found else path if files.exists(p) else None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, files = _hadoop(spark, path)
+    return files.exists(p)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return current(spark, path) is not None
 

@@ -12,25 +12,29 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import trim_all_ends
 from .tables import work_dir
 
+#: Whatever ends a line of a robots file.
+_LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
 
 def robots(files: DataFrame) -> DataFrame:
     """host, kind (sitemap, disallow, allow), value, line of every robots file (host, text).
 
-    Rules count in groups that name the agent ``*``; a group's agents end
-    with its first rule.  Sitemap lines always count.
+    Rules count in groups that name the agent ``*``.  A group begins with an
+    agent that follows any other directive, known or not; directives before
+    the first agent belong to none.  Sitemap lines always count.
     """
-    lines = files.select("host", F.posexplode(F.split("text", "\r?\n")).alias("line", "raw"))
-    bare = F.trim(F.regexp_replace("raw", "#.*", ""))
-    parts = lines.select("host", "line", F.lower(F.trim(F.substring_index(bare, ":", 1))).alias("field"), F.trim(F.substr(bare, F.instr(bare, ":") + 1)).alias("value")).where(bare.contains(":"))
+    lines = files.select("host", F.posexplode(F.split("text", _LINE_END)).alias("line", "raw"))
+    bare = F.regexp_replace("raw", "#.*", "")
+    parts = lines.select("host", "line", F.lower(trim_all_ends(F.substring_index(bare, ":", 1))).alias("field"), trim_all_ends(F.substr(bare, F.instr(bare, ":") + 1)).alias("value")).where(bare.contains(":"))
     order = Window.partitionBy("host").orderBy("line")
-    agents = parts.where("field IN ('user-agent', 'disallow', 'allow')")
     opens = (F.col("field") == "user-agent") & (F.coalesce(F.lag("field").over(order), F.lit("rule")) != "user-agent")
-    grouped = agents.withColumn("opens", opens.cast("int")).withColumn("block", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    grouped = parts.withColumn("opens", opens.cast("int")).withColumn("block", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     named = grouped.withColumn("all", F.max(F.expr("field = 'user-agent' AND value = '*'")).over(Window.partitionBy("host", "block")))
-    rules = named.where("field <> 'user-agent' AND all AND value <> ''").select("host", F.col("field").alias("kind"), "value", "line")
-    maps = parts.where("field = 'sitemap' AND value <> ''").select("host", F.col("field").alias("kind"), "value", "line")
+    rules = named.where("field IN ('disallow', 'allow') AND all AND value <> ''").select("host", F.col("field").alias("kind"), "value", "line")
+    maps = named.where("field = 'sitemap' AND value <> ''").select("host", F.col("field").alias("kind"), "value", "line")
     return rules.unionByName(maps)
 
 

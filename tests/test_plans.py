@@ -88,6 +88,13 @@ def test_url_diff(spark, now, want):
     assert {u: r.is_active for u, r in got.items()} == want
     assert got["a"].first_seen_at == t(1)
     assert (got["a"].last_seen_at == t(2)) == ("e" in want)
+    assert (got["c"].last_seen_at == t(2)) == ("e" in want)  # also one that has just turned inactive
+
+
+def test_url_diff_leaves_what_was_inactive(spark):
+    old = spark.createDataFrame([("a", t(1), t(1), True), ("b", t(1), t(1), False), ("c", t(1), t(1), False)], "url string, first_seen_at timestamp, last_seen_at timestamp, is_active boolean")
+    got = {r.url: (r.is_active, r.last_seen_at.day) for r in upserts.sync_activity(old, spark.createDataFrame([("a",), ("c",)], "url string"), F.lit(t(2))).collect()}
+    assert got == {"a": (True, 2), "b": (False, 1), "c": (True, 2)}
 
 
 def test_url_diff_first_time(spark):
@@ -104,6 +111,13 @@ def test_robots(spark):
     assert sorted((r.kind, r.value) for r in got.collect()) == [("allow", "/y"), ("disallow", "/x"), ("sitemap", "https://e.com/s.xml")]
 
 
+@pytest.mark.parametrize("between", ["Crawl-delay: 5", "Sitemap: https://e.com/t.xml", "Unknown:", ": x"])
+def test_any_directive_ends_the_agents_of_a_robots_group(spark, between):
+    text = f"Disallow: /before\nUser-agent: *\n{between}\nUser-agent: bot\n\tDisallow :\t/x\u2028User-agent: *\r\nAllow:/y"
+    got = web.robots(spark.createDataFrame([("h", text), ("g", None), ("i", "")], "host string, text string"))
+    assert sorted((r.kind, r.value) for r in got.collect() if r.kind != "sitemap") == [("allow", "/y")]
+
+
 def test_sitemaps(spark):
     ns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9" xmlns:image="http://i"'
     leaf = f"<urlset {ns}><url><loc>u1</loc><image:image><image:loc>no</image:loc></image:image></url><url><loc> u2 </loc></url></urlset>"
