@@ -49,7 +49,9 @@ f AS (SELECT d.doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(
   COALESCE(rep.n, 0) AS n_repeat_words, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
   (len(ws) < 50 OR 100 * COALESCE(rep.n, 0) > 50 * len(ws)) AS base_failed FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id),
 s AS ({shares}),
-g AS (SELECT s.*, quality > 0 AS good FROM s JOIN f USING (doc_id) JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IS NOT NULL),
+told AS (SELECT doc_id, MIN(quality > 0) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING MIN(quality > 0) = MAX(quality > 0)),
+sole AS (SELECT doc_id FROM (SELECT DISTINCT * FROM f) GROUP BY 1 HAVING COUNT(*) = 1),
+g AS (SELECT DISTINCT s.*, good FROM s JOIN sole USING (doc_id) JOIN (SELECT DISTINCT doc_id FROM f WHERE NOT base_failed) USING (doc_id) JOIN told USING (doc_id)),
 c AS (SELECT stratum, rule, cutoff, COUNT(*) FILTER (good) AS n, COUNT(*) FILTER (good AND x > cutoff) AS k, COUNT(*) FILTER (NOT good AND x > cutoff) AS caught FROM g, (SELECT unnest({list(CUTOFFS)}) AS cutoff) GROUP BY 1, 2, 3),
 admitted AS (SELECT * FROM c WHERE k < n AND k <= n * {rate!r} AND caught > k AND
   list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0) + i * ln({rate!r}) + (n - i) * ln(1 - {rate!r})))) <= {delta!r} / (GREATEST(1, (SELECT COUNT(DISTINCT stratum) FROM g)) * {tests})),

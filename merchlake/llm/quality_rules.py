@@ -169,8 +169,10 @@ FEW_STRATA = 20_000
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.03, delta: float = 0.05, stratum: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
     """The counts of every row of docs, base_failed, and kept: neither the base nor a rule of its stratum rejects it.
 
-    labels (doc_id, quality: 1 is good, 0 bad) is the holdout; null labels, labels
-    of absent documents and of those that fail the base take no part.  A
+    labels (doc_id, quality: 1 is good, 0 bad) is the holdout, one trial for each
+    document: labels of one doc_id that agree count once, those that do not,
+    null ones, and those of absent documents or of documents that fail the base take no part, nor
+    do those of a doc_id whose rows differ, since which one was labelled is open.  A
     null stratum is a stratum of its own.  Repeated rows are judged alike,
     each in its own row; other columns are not read, but those of carry are passed on; an empty table gives no
     rows.
@@ -178,11 +180,10 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.03, delta: float
     stage = Stage(docs.sparkSession, "quality")
     rows = stage.write(features(docs, stratum, carry).withColumn("base_failed", base_failed()), "counts")
     found = signals()
-    labelled = (
-        rows.where(~F.col("base_failed"))
-        .join(labels.where(F.col("quality").isNotNull()).select("doc_id", (F.col("quality") > 0).alias("good")), "doc_id")
-        .select("stratum", "good", *(found[r].alias(r) for r in RULES))
-    )
+    told = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min(F.col("quality") > 0).alias("good"), F.max(F.col("quality") > 0).alias("most")).where("good = most")
+    one = F.struct("stratum", "base_failed", *(found[r].alias(r) for r in RULES))
+    seen = rows.join(told.select("doc_id", "good"), "doc_id").groupBy("doc_id").agg(F.min("good").alias("good"), F.min(one).alias("one"), F.max(one).alias("other"))
+    labelled = seen.where("one = other AND NOT one.base_failed").select("one.stratum", "good", *(F.col(f"one.{r}") for r in RULES))
     cutoffs = stage.write(thresholds(labelled, alpha, delta).groupBy("stratum").pivot("rule", [*RULES]).agg(F.first("cutoff")), "cutoffs")
     few = cutoffs.count() <= FEW_STRATA
     rejected = F.lit(False)
