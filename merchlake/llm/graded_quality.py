@@ -13,7 +13,7 @@ chance take no part: a bin needs ``least`` documents and a deviation of
 sample of the rated documents (``sample`` at most, the first by a hash of doc_id), which is
 chosen on ids and grades alone.
 Each step of L-BFGS is one pass of Spark over the sample's features: the tasks
-add up the gradient, and the sums have the size of the model, whatever the
+add up the gradient side by side, and the sums have the size of the model, whatever the
 sample's.  All documents are then scored in one pass.
 """
 
@@ -70,7 +70,7 @@ def hashed(docs: DataFrame, *names: str) -> DataFrame:
 
 
 def grade_counts(rated: DataFrame, grades: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents by grade, and by grade and bin. Tasks send their sums."""
+    """Documents by grade, and by grade and bin. All tasks send their sums at once; the sample bounds their number and size."""
 
     def run(batches):
         n, by = np.zeros(grades, np.int64), np.zeros((grades, 1 << BITS), np.int32)
@@ -84,7 +84,7 @@ def grade_counts(rated: DataFrame, grades: int) -> tuple[np.ndarray, np.ndarray]
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (n, at.astype("<i4"), by.ravel()[at])], ["n", "at", "bins"])
 
     n, by = np.zeros(grades, np.int64), np.zeros(grades << BITS, np.int64)
-    for a, at, b in rated.select("grade", "bins").mapInArrow(run, "n binary, at binary, bins binary").toLocalIterator():
+    for a, at, b in rated.select("grade", "bins").mapInArrow(run, "n binary, at binary, bins binary").collect():
         n += np.frombuffer(a, np.int64)
         by[np.frombuffer(at, "<i4")] += np.frombuffer(b, np.int32)
     by = by.reshape(grades, -1)
@@ -178,7 +178,7 @@ def fit(rated: DataFrame, n: np.ndarray, by: np.ndarray, l2: float = 1.0, steps:
 
         loss, grad = 0.5 * l2 * float(x[: 1 << BITS] @ x[: 1 << BITS]), np.zeros_like(x)
         grad[: 1 << BITS] = l2 * x[: 1 << BITS]
-        for part, at, v in rated.select("grade", "bins").mapInArrow(run, "loss double, at binary, value binary").toLocalIterator():
+        for part, at, v in rated.select("grade", "bins").mapInArrow(run, "loss double, at binary, value binary").collect():
             loss += part
             grad[np.frombuffer(at, "<i4")] += np.frombuffer(v)
         sent.destroy()
