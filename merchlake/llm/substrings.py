@@ -60,11 +60,11 @@ def anchors(h: np.ndarray, grams: Grams, window: int, gram: int) -> tuple[np.nda
     return first, last, g[at[first]]
 
 
-def segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """anchor, context, check, doc, key, lo, hi (first and last window) of every segment of every row."""
+def segments(docs: DataFrame, window: int, gram: int, digests: bool = False) -> DataFrame:
+    """anchor, context, check, doc, key, lo, hi (first and last window) of every segment of every row; with digests also those of its windows."""
 
     def run(c: dict) -> pa.RecordBatch | None:
-        parts = []
+        parts, held = [], []
         for doc, key, text in zip(c["doc"].to_pylist(), c["key"].to_pylist(), c["text"].to_pylist(), strict=True):
             words = word_list(text)
             if len(words) < window:
@@ -79,12 +79,17 @@ def segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
             check = np.fromiter((digest(raw[b:e]) for b, e in zip(begin, end, strict=True)), np.uint64, len(lo))
             n = len(lo)
             parts.append((anchor, context, check, np.full(n, doc), np.full(n, key), lo.astype(np.int32), hi.astype(np.int32)))
+            if digests:
+                at = np.arange(len(h) - window + 1)
+                both = np.stack([g.spans(g.sums(h), at, at + window) for g in (_grams, _other)], axis=1)
+                held.extend(both[a : b + 1].tobytes() for a, b in zip(lo.tolist(), hi.tolist(), strict=True))
         if not parts:
             return None
         cols = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in cols], [*CONTEXT, "doc", "key", "lo", "hi"])
+        arrays = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in cols]
+        return pa.RecordBatch.from_arrays([*arrays, *([pa.array(held, pa.binary())] if digests else [])], [*CONTEXT, "doc", "key", "lo", "hi", *(["windows"] if digests else [])])
 
-    return map_batches(_numbered(docs), run, "anchor long, context long, check long, doc long, key long, lo int, hi int")
+    return map_batches(_numbered(docs), run, "anchor long, context long, check long, doc long, key long, lo int, hi int" + (", windows binary" if digests else ""))
 
 
 _grams = Grams(0)
@@ -109,6 +114,22 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
     return map_batches(texts.select("doc", "key", "text", "spans", "new"), run, "w1 long, w2 long, doc long, key long, lo int, new boolean")
 
 
+def _stored_windows(held: DataFrame) -> DataFrame:
+    """As _windows, of rows of an index: first (with doc, key, lo) and windows."""
+
+    def run(c: dict) -> pa.RecordBatch | None:
+        firsts, raw = c["first"].to_pylist(), c["windows"].to_pylist()
+        n = [len(x) // 16 for x in raw]
+        if not n:
+            return None
+        both = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2)
+        doc, key = (np.repeat(np.array([f[k] for f in firsts], np.int64), n) for k in ("doc", "key"))
+        lo = np.concatenate([np.arange(f["lo"], f["lo"] + k, dtype=np.int32) for f, k in zip(firsts, n, strict=True)])
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1])), pa.array(doc), pa.array(key), pa.array(lo), pa.array(np.zeros(len(lo), bool))], ["w1", "w2", "doc", "key", "lo", "new"])
+
+    return map_batches(held.select("first", "windows"), run, "w1 long, w2 long, doc long, key long, lo int, new boolean")
+
+
 def small_side(table: DataFrame) -> DataFrame:
     """A staged table, for broadcast if its size on disk is within bounds."""
     return F.broadcast(table) if table_bytes(table) <= BROADCAST_BYTES else table
@@ -117,28 +138,44 @@ def small_side(table: DataFrame) -> DataFrame:
 class FingerprintIndex:
     """Runs of (anchor, context, check) with their first holder: doc, key, lo, hi.
 
+    With windows a segment's window digests (16 bytes each) are kept too, so
+    that later batches need no text of earlier ones.
+
     A run is a folder below root, bucketed and sorted by fingerprint, and never
     changed; one is valid once its write has succeeded.  An index that exists
-    at root is opened.  When ``fan`` runs have gathered they are merged into
+    at root is opened, with windows or without as it was made; a run that was cut
+    off is left aside, and its number is not used again.  When ``fan`` runs have gathered they are merged into
     one, the smallest doc_id of a fingerprint staying; after a crash in
     between both the merged run and its parts are read, which changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fan: int = 3, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, fan: int = 3, buckets: int | None = None, windows: bool = True):
         self.spark, self.root, self.fan = spark, root.rstrip("/"), fan
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.runs: list[tuple[int, DataFrame, str, str]] = []
+        self.windows, self.next = windows, 0
         path, files = hadoop_path(spark, self.root)
-        for f in files.listStatus(path) if files.exists(path) else ():
-            folder = f.getPath().getName()
-            if files.exists(hadoop_path(spark, f"{self.root}/{folder}/_SUCCESS")[0]):
-                _, number, buckets_of = folder.split("-")
+        folders = sorted(f.getPath().getName() for f in files.listStatus(path)) if files.exists(path) else []
+        whole = [f for f in folders if files.exists(hadoop_path(spark, f"{self.root}/{f}/_SUCCESS")[0])]
+        if whole:
+            self.windows = "windows" in spark.read.parquet(f"{self.root}/{whole[0]}").columns
+        for folder in folders:
+            _, number, buckets_of = folder.split("-")
+            self.next = max(self.next, int(number) + 1)
+            if folder in whole:
                 self.runs.append((int(number), *self._table(f"{self.root}/{folder}", int(buckets_of))))
-        self.runs.sort(key=lambda r: r[0])
+
+    @property
+    def columns(self) -> list[str]:
+        return [*CONTEXT, "first", *(["windows"] if self.windows else [])]
+
+    @property
+    def schema(self) -> str:
+        return RUN + (", windows BINARY" if self.windows else "")
 
     def _table(self, folder: str, buckets: int) -> tuple[DataFrame, str, str]:
         name = f"fingerprints_{uuid.uuid4().hex[:12]}"
-        self.spark.sql(f"CREATE TABLE {name} ({RUN}) USING parquet CLUSTERED BY (anchor) SORTED BY (anchor, context, check) INTO {buckets} BUCKETS LOCATION '{folder}'")
+        self.spark.sql(f"CREATE TABLE {name} ({self.schema}) USING parquet CLUSTERED BY (anchor) SORTED BY (anchor, context, check) INTO {buckets} BUCKETS LOCATION '{folder}'")
         return self.spark.table(name), name, folder
 
     def add(self, contexts: DataFrame) -> None:
@@ -147,15 +184,15 @@ class FingerprintIndex:
             self.compact()
 
     def _write(self, contexts: DataFrame) -> None:
-        number = self.runs[-1][0] + 1 if self.runs else 0
+        number, self.next = self.next, self.next + 1
         folder, name = f"{self.root}/run-{number:06d}-{self.buckets}", f"fingerprints_{uuid.uuid4().hex[:12]}"
-        rows = contexts.select(*CONTEXT, "first").repartition(self.buckets, "anchor")
+        rows = contexts.select(*self.columns).repartition(self.buckets, "anchor")
         rows.write.format("parquet").bucketBy(self.buckets, "anchor").sortBy(*CONTEXT).option("path", folder).saveAsTable(name)
         self.runs.append((number, self.spark.table(name), name, folder))
 
     def compact(self) -> None:
         old = list(self.runs)
-        self._write(first_holders(self.read()))
+        self._write(first_holders(self.read(), self.windows))
         self.runs = self.runs[len(old) :]
         for *_, name, folder in old:
             self.spark.sql(f"DROP TABLE {name}")
@@ -164,7 +201,7 @@ class FingerprintIndex:
 
     def read(self) -> DataFrame:
         """All runs' rows, as plain files: Spark takes a union of bucketed tables for bucketed, which it is not."""
-        return self.spark.read.schema(RUN).parquet(*(folder for *_, folder in self.runs))
+        return self.spark.read.schema(self.schema).parquet(*(folder for *_, folder in self.runs))
 
     def held(self, anchors: DataFrame) -> DataFrame:
         """The runs' rows of some anchors, to be written: each run is merge-joined with them."""
@@ -183,17 +220,18 @@ class FingerprintIndex:
 RUN = "anchor BIGINT, context BIGINT, check BIGINT, first STRUCT<doc: BIGINT, key: BIGINT, lo: INT, hi: INT>"
 
 
-def first_holders(df: DataFrame) -> DataFrame:
-    return df.groupBy(*CONTEXT).agg(F.min("first").alias("first"))
+def first_holders(df: DataFrame, windows: bool = False) -> DataFrame:
+    """Of each context the first holder; its windows are the same in all."""
+    return df.groupBy(*CONTEXT).agg(F.min("first").alias("first"), *([F.min("windows").alias("windows")] if windows else []))
 
 
 def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """doc, key, lo, end of what earlier documents hold of a batch's segments; the batch then joins the index.
 
-    texts (doc, key, text, new) has the batch (new) and all that is indexed.
+    texts (doc, key, text, new) has the batch (new) and, unless the index keeps windows, all that is indexed.
     """
-    first = F.struct("doc", "key", "lo", "hi")
-    new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last")), "contexts")
+    first, kept = F.struct("doc", "key", "lo", "hi"), [F.min("windows").alias("windows")] if index.windows else []
+    new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last"), *kept), "contexts")
     fresh = new.select(*CONTEXT, "first", F.lit(True).alias("fresh"), (F.col("last") > F.col("first.doc")).alias("again"))
     known, old = fresh, None
     if index.runs:  # the merge-join of the batch with the runs
@@ -210,7 +248,10 @@ def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts
         .select("anchor")
     )
     lists = stage.write(first_holders(known.join(open_anchors, "anchor", "left_semi")).groupBy("first.doc", "first.key").agg(F.collect_list(F.struct("first.lo", "first.hi")).alias("spans")), "open")
-    windows = stage.write(_windows(texts.join(small_side(lists), ["doc", "key"]), window), "windows")
+    found = _windows(texts.join(small_side(lists), ["doc", "key"]), window)
+    if index.windows and old is not None:
+        found = found.unionByName(_stored_windows(first_holders(old, True).join(open_anchors, "anchor", "left_semi")))
+    windows = stage.write(found, "windows")
     twice = windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last")).where("holder < last").select("w1", "w2", "holder")
     single = windows.where("new").join(twice, ["w1", "w2"]).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("lo") + window).alias("end"))
     spans = stage.write(whole.unionByName(single), "spans")
@@ -220,13 +261,14 @@ def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts
 
 
 def _by_row(spans: DataFrame, stage: Stage) -> DataFrame:
-    return stage.write(spans.groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "end")).alias("spans")), "removed")
+    """The different spans of each row: rows alike in doc_id and text have the same ones, however many they are."""
+    return stage.write(spans.groupBy("doc", "key").agg(F.collect_set(F.struct("lo", "end")).alias("spans")), "removed")
 
 
 def removed_spans(docs: DataFrame, window: int = 50, gram: int = 25, batches: int = 3, fan: int = 2) -> DataFrame:
     """doc, key, spans: the spans of words to remove from each row that has any; spans may overlap."""
     stage = Stage(docs.sparkSession, "substrings")
-    index = FingerprintIndex(docs.sparkSession, f"{stage.root}/index", fan)
+    index = FingerprintIndex(docs.sparkSession, f"{stage.root}/index", fan, windows=False)  # all texts are at hand
     edges = docs.select(F.percentile_approx(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), [i / batches for i in range(1, batches)], 1000)).first()[0] or [] if batches > 1 else []
     edges = sorted(set(edges))
     batch_of = F.aggregate(F.array(*map(F.lit, edges)), F.lit(0), lambda acc, e: acc + F.when(F.col("doc") > e, 1).otherwise(0)) if edges else F.lit(0)
@@ -244,15 +286,18 @@ def removed_spans(docs: DataFrame, window: int = 50, gram: int = 25, batches: in
 def dedup_batch(docs: DataFrame, index: FingerprintIndex, history: DataFrame | None = None, window: int = 50, gram: int = 25) -> DataFrame:
     """``dedup`` of a new batch against an index of earlier ones, to which the batch is added.
 
-    history (doc_id, text) are the rows of the earlier batches: where an
-    anchor has several contexts, the windows are read from the words.  Documents
-    of the batch have larger doc_ids than the indexed ones; only the batch is changed.
+    Documents of the batch have larger doc_ids than the indexed ones; only the
+    batch is changed.  An index that keeps windows (the default) needs no
+    earlier text.  One without them needs history (doc_id, text), all rows of the
+    earlier batches, once it has runs: without it this is an error.
     """
+    if index.runs and not index.windows and history is None:
+        raise ValueError("the index keeps no windows: the texts of the earlier batches are needed as history")
     stage = Stage(docs.sparkSession, "batch")
     texts = _numbered(docs).withColumn("new", F.lit(True))
-    if history is not None:
+    if history is not None and not index.windows:
         texts = texts.unionByName(_numbered(history).withColumn("new", F.lit(False)))
-    own = stage.write(segments(docs, window, gram), "segments")
+    own = stage.write(segments(docs, window, gram, index.windows), "segments")
     spans = _found_in_batch(stage, index, own, texts, window)
     stage.drop(own)
     return _without(docs, _by_row(spans, stage))

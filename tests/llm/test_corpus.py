@@ -217,7 +217,7 @@ def test_an_index_that_is_opened_again(spark, texts, tmp_path):
     parts = [df.where("doc_id < 60"), df.where("doc_id BETWEEN 60 AND 120"), df.where("doc_id BETWEEN 121 AND 1001"), df.where("doc_id > 1001")]
     got, history = {}, None
     for part in parts:  # each call opens what the last one left
-        index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=3)
+        index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=3, windows=False)
         assert len(index.runs) < 3
         got |= {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.dedup_batch(part, index, history).collect()}
         index.close()
@@ -225,8 +225,62 @@ def test_an_index_that_is_opened_again(spark, texts, tmp_path):
     assert got == removed(own, 50)
 
 
+def words_of(n, start=0):
+    return " ".join(f"v{i}" for i in range(start, start + n))
+
+
+def test_an_index_with_windows_needs_no_earlier_text(spark, texts, tmp_path):
+    first = spark.createDataFrame([(1, "a b c " + words_of(70) + " d e f")], "doc_id long, text string")
+    later = spark.createDataFrame([(2, words_of(70) + " x y z")], "doc_id long, text string")
+    found = {}
+    for windows in (True, False):
+        index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/{windows}", windows=windows)
+        substrings.dedup_batch(first, index).count()
+        if not windows:
+            with pytest.raises(ValueError, match="history"):
+                substrings.dedup_batch(later, index)
+        found[windows] = substrings.dedup_batch(later, index, None if windows else first).first().n_removed
+        index.close()
+    assert found == {True: 70, False: 70}
+    # and over several batches, opened again and compacted, without any history
+    own = {i: t for i, t in texts.items() if len(t) < 20_000}
+    own |= {1000: "x y " + " ".join(words(own[max(own)])[:70]), 1001: "p q " * 60, 1002: "z " + "p q " * 60, 1003: " ".join(words(own[max(own)])[3:68])}
+    df, got = spark.createDataFrame([*own.items()], "doc_id long, text string"), {}
+    for where in ("doc_id < 60", "doc_id BETWEEN 60 AND 120", "doc_id BETWEEN 121 AND 1001", "doc_id > 1001"):
+        index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/many", fan=3)
+        assert index.windows
+        got |= {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.dedup_batch(df.where(where), index).collect()}
+        index.close()
+    assert got == removed(own, 50)
+
+
+def test_rows_that_repeat_cost_what_they_are(spark):
+    rows = [(1, words_of(400))] + [(2, "q " + words_of(300, 50))] * 5000 + [(None, words_of(60))] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spans = substrings.removed_spans(df).collect()
+    assert max(len(r.spans) for r in spans) < 60  # those of one row
+    got = collections.Counter((r.doc_id, r.n_words, r.n_removed) for r in substrings.dedup(df).collect())
+    assert got == {(1, 400, 0): 1, (2, 301, 300): 5000, (None, 60, 60): 3}
+
+
+def test_a_run_that_was_cut_off_is_left_aside(spark, tmp_path):
+    docs_of = lambda i, start: spark.createDataFrame([(i, words_of(80, start))], "doc_id long, text string")
+    open_ = lambda: substrings.FingerprintIndex(spark, f"file://{tmp_path}/i", fan=9, buckets=3)
+    index = open_()
+    substrings.dedup_batch(docs_of(1, 0), index).count()
+    index.close()
+    cut = tmp_path / "i" / "run-000001-3"
+    cut.mkdir()
+    (cut / "part-00000.parquet").write_bytes(b"half")
+    for i, start, gone in ((2, 500, 0), (3, 0, 80), (4, 500, 80)):
+        index = open_()
+        assert substrings.dedup_batch(docs_of(i, start), index).first().n_removed == gone
+        index.close()
+    assert [r[0] for r in open_().runs] == [0, 2, 3, 4]
+
+
 def test_runs_are_joined_where_they_lie(spark, tmp_path):
-    index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=9, buckets=3)
+    index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=9, buckets=3, windows=False)
     rows = spark.range(1000).selectExpr("id AS anchor", "id AS context", "id AS check", "named_struct('doc', id, 'key', id, 'lo', 1, 'hi', 2) AS first")
     index.add(rows)
     index.add(rows)
@@ -283,6 +337,20 @@ def test_quality_counts(spark, docs, texts, awkward, nothing):
     assert quality_rules.judge(nothing, labels).count() == 0
 
 
+def test_a_document_is_one_trial(spark):
+    """Labels that repeat, and rows that repeat, change nothing; labels that disagree and rows that differ teach nothing."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(60)) + " #" * (i % 2) * 40, "en") for i in range(600)]
+    labels = [(i, int(i % 2 == 0)) for i in range(600)]
+    judged = lambda rs, ls: sorted((r.doc_id, r.kept) for r in quality_rules.judge(frame(spark, rs), spark.createDataFrame(ls, "doc_id long, quality int")).distinct().collect())
+    once = judged(rows, labels)
+    assert judged(rows, labels * 10) == once and judged(rows * 3, labels) == once
+    few = labels[:120]
+    assert all(k for _, k in judged(rows, few * 30))  # too few to reject anything, however often they are told
+    assert all(k for _, k in judged(rows, labels + [(i, 1 - q) for i, q in labels]))
+    assert [x for x in judged(rows + [(i, t + " more", la) for i, t, la in rows], labels) if not x[1]] == []
+
+
 def test_binomial_tail():
     assert quality_rules.binomial_tail(2, 10, 0.3) == pytest.approx(sum(math.comb(10, i) * 0.3**i * 0.7 ** (10 - i) for i in range(3)))
 
