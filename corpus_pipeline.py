@@ -11,11 +11,14 @@ beyond those of documents are left out, so none can clash.  An empty table gives
 an empty one at every stage.
 
 A stage's result is written before the next stage is called; that one then
-removes what the stage before it staged.
+removes what the stage before it staged.  Which tables these are, a mark in the
+result's columns tells, which Parquet keeps: runs that are interleaved, and
+results that are held and not yet written, do not touch each other's.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -29,19 +32,20 @@ from merchlake.llm.queries import tokenizer_file
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-#: What the stages called so far have staged and a later one may remove.
-_left: list[Stage] = []
+#: The mark of a stage's result in the metadata of its doc_id, and what the stage staged, by mark.
+MARK = "merchlake.stage"
+_staged: dict[str, list[Stage]] = {}
 
 
 def _clear(docs: DataFrame) -> None:
-    """Remove what earlier stages staged, but for what docs still reads."""
-    if _left:
+    """Remove what the stage that docs come from staged, unless docs still read it."""
+    mark = docs.schema["doc_id"].metadata.get(MARK)
+    if mark in _staged:
         read = docs.inputFiles()
-        done = [s for s in _left if not any(s.root.rsplit("/", 1)[1] in f for f in read)]
-        for s in done:
-            s.clear()
-            _left.remove(s)
-        let_go(docs.sparkSession)
+        if not any(s.root.rsplit("/", 1)[1] in f for s in _staged[mark] for f in read):
+            for s in _staged.pop(mark):
+                s.clear()
+            let_go(docs.sparkSession)
 
 
 def _step(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
@@ -50,8 +54,9 @@ def _step(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable
         _clear(docs)
         with watched() as made:
             out = step(spark, docs, sf_dir)
-        _left.extend(made)
-        return out
+        mark = uuid.uuid4().hex
+        _staged[mark] = list(made)
+        return out.withMetadata("doc_id", {MARK: mark})
 
     return run_step
 
