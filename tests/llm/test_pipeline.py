@@ -146,3 +146,24 @@ def test_other_stages_keep_null_and_repeated_ids(spark):
     want = held(docs)
     assert held(corpus_pipeline.lines(spark, docs, DATA)) == want and held(corpus_pipeline.passages(spark, docs, DATA)) == want
     assert collections.Counter(r.doc_id for r in corpus_pipeline.packed(spark, docs, DATA).where("piece = 0").collect()) == {None: 2, 1: 2}
+
+
+def test_runs_that_are_interleaved_keep_their_tables(spark, tmp_path):
+    """Two runs stage by stage in turns, and a result that is held and read late."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    inputs = {"a": docs.where("doc_id % 2 = 0"), "b": docs.where("doc_id % 2 = 1")}
+    held = corpus_pipeline.quality(spark, inputs["a"], DATA)
+    want = {n: {} for n in inputs}
+    now = dict(inputs)
+    for i, (_, step) in enumerate(corpus_pipeline.STAGES[:3]):
+        made = {n: step(spark, df, DATA) for n, df in now.items()}
+        for n, df in made.items():
+            df.write.parquet(f"{tmp_path}/{n}{i}")
+            now[n] = spark.read.parquet(f"{tmp_path}/{n}{i}")
+            want[n][i] = now[n].count()
+    assert held.count() == want["a"][0]
+    for n, df in inputs.items():  # each run alone
+        for i, (_, step) in enumerate(corpus_pipeline.STAGES[:3]):
+            step(spark, df, DATA).write.parquet(f"{tmp_path}/alone-{n}{i}")
+            df = spark.read.parquet(f"{tmp_path}/alone-{n}{i}")
+            assert df.count() == want[n][i]
