@@ -12,7 +12,7 @@ from ..functions.text import clean_text, name_with_brand, normalize_key
 from ..operators.rows import first_per_key, latest_per_key
 from ..operators.upserts import append_by_name, replace_by_keys
 from ..schemas import SILVER
-from ..sources.records import drop_prefixes, flatten, whitelist
+from ..sources.records import drop_prefixes, flatten, quoted, whitelist
 
 #: Columns that a lookup may add to a source's records; null where it is absent.
 SUPPLEMENT = {"product_id": "string", "ean_html": "array<string>", "price_html": "bigint", "qty_html": "bigint", "html_fetch_date": "date"}
@@ -34,7 +34,7 @@ def clean(raw: DataFrame, columns: Sequence[str], product: str, run: str = "_ing
 
     A source's overrides: columns to drop, and columns to add by SQL over the approved ones.
     """
-    out = first_per_key(whitelist(raw, columns), [product, run], [F.col(row_id)])
+    out = first_per_key(whitelist(raw, columns), [quoted(product), quoted(run)], [F.col(quoted(row_id))])
     return out.withColumns({k: F.expr(v) for k, v in (add or {}).items()}).drop(*drop)
 
 

@@ -334,3 +334,61 @@ def stream_session_counts(spark, d):
     out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     told = spark.read.parquet(f"{root}/out")
     return told.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "run_end")})
+
+
+# --- bad rows and bad sites -----------------------------------------------------------------------------------
+
+
+def _two_sites(spark, d):
+    """Catalogues in which every tenth price is no number and every sixth stock divides by zero."""
+    p = table(spark, d, "part")
+    stamp = F.lit("2024-03-01 10:00:00").cast("timestamp").alias("_ingested_at")
+    price = F.when(F.col("p_partkey") % 10 == 0, "ask").otherwise(F.col("p_retailprice").cast("string"))
+    a = p.select(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title")).alias("_source"), price.alias("price"), (F.col("p_size") % 6).alias("per"), F.lit("x").alias("ads"), stamp, F.col("p_partkey").alias("_row_id"))
+    b = p.select(F.concat(F.when(F.col("p_partkey") % 9 == 0, "n/a").otherwise(""), F.round(F.col("p_retailprice") * 100).cast("long").cast("string")).alias("cents"), F.col("p_partkey").alias("code"), "p_name", stamp, F.col("p_partkey").alias("_row_id"))
+    return a, b
+
+
+_SITES = {
+    "site_a": {"product_id_field": "_source.id", "drop_prefixes": ["ads"], "field_mapping": {"id": {"strategy": "direct_path", "path": "_source.id"}, "name": {"strategy": "direct_path", "path": "_source.title"}, "list_price_try": {"strategy": "computed", "formula": "CAST(replace(price, ',', '.') AS DOUBLE)"}, "stock_qty": {"strategy": "computed", "formula": "60 / per", "required": True}}},
+    "site_b": {"product_id_field": "code", "field_mapping": {"id": {"strategy": "direct_path", "path": "code"}, "name": {"strategy": "direct_path", "path": "p_name"}, "sale_price_try": {"strategy": "direct_path", "path": "cents", "unit": "kurus"}}},
+    "site_c": {"product_id_field": "code", "field_mapping": {"id": {"strategy": "direct_path", "path": "nowhere"}}},
+    "other": {"about": "no site"},
+}
+
+
+def _built(spark, d):
+    from . import sites
+
+    found = {name: sites.Site.of(name, config) for name, config in _SITES.items() if "field_mapping" in config}
+    a, b = _two_sites(spark, d)
+    return sites.build(found, {"site_a": a.unionByName(a), "site_b": b, "site_c": b})
+
+
+@query(
+    """SELECT 'site_a' AS site_code, CAST(p_partkey AS VARCHAR) AS source_product_id, p_name AS name, CASE WHEN p_partkey % 10 <> 0 THEN CAST(CAST(p_retailprice AS VARCHAR) AS DOUBLE) END AS list_price_try, CAST(NULL AS DOUBLE) AS sale_price_try, CASE WHEN p_size % 6 <> 0 THEN CAST(trunc(60 / (p_size % 6)) AS BIGINT) END AS stock_qty FROM part
+    UNION ALL SELECT 'site_b', CAST(p_partkey AS VARCHAR), p_name, NULL, CASE WHEN p_partkey % 9 <> 0 THEN ROUND(CAST(ROUND(p_retailprice * 100) AS BIGINT) / 100.0, 2) END, NULL FROM part"""
+)
+def history_past_bad_rows(spark, d):
+    """Two sites with rows that fail, a third that cannot be built: what is good goes on."""
+    good, _, failed = _built(spark, d)
+    return good.where(F.lit([*failed] == ["site_c"])).select("site_code", "source_product_id", "name", "list_price_try", "sale_price_try", "stock_qty")
+
+
+@query(
+    """SELECT 'site_a' AS site_code, CAST(p_partkey AS VARCHAR) AS id, 'list_price_try' AS field, 'cast' AS reason, 'ask' AS value FROM part WHERE p_partkey % 10 = 0
+    UNION ALL SELECT 'site_a', CAST(p_partkey AS VARCHAR), 'stock_qty', 'null', NULL FROM part WHERE p_size % 6 = 0
+    UNION ALL SELECT 'site_b', CAST(p_partkey AS VARCHAR), 'sale_price_try', 'cast', 'n/a' || CAST(CAST(ROUND(p_retailprice * 100) AS BIGINT) AS VARCHAR) FROM part WHERE p_partkey % 9 = 0"""
+)
+def rows_in_quarantine(spark, d):
+    """The fields of those rows that failed."""
+    return _built(spark, d)[1]
+
+
+@query("SELECT p_partkey, '<b> ' || p_name || ' fi 1⁄2 & ' || p_brand AS cleaned, 'b ' || trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) || ' fi 1 2 ' || trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS key FROM part")
+def clean_text_entities(spark, d):
+    """References written twice over, invisible and compatibility characters around each name."""
+    from ..functions import text as X
+
+    x = F.concat(F.lit("\ufeff&amp;lt;b&amp;gt;&#8203;"), "p_name", F.lit("\u00a0\u2060ﬁ&nbsp;½\t&amp;\n"), "p_brand", F.lit(" \u200d"))
+    return table(spark, d, "part").select("p_partkey", X.clean_text(x).alias("cleaned"), X.normalize_key(x).alias("key"))

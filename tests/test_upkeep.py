@@ -286,3 +286,53 @@ def test_serving_survives_a_failed_task(spark, tmp_path):
     con.execute("DELETE FROM t")
     con.commit()
     assert read().count() == 0
+
+
+# --- quarantine --------------------------------------------------------------------------------------
+
+
+def test_casts_of_a_formula():
+    from merchlake.plans.quarantine import casts
+
+    assert casts("CAST(a AS DOUBLE) + cast( concat('x) AS y', \"q\") as  string)") == [("a", "DOUBLE"), ("concat('x) AS y', \"q\")", "string")]
+    assert casts("CAST(CAST(b AS INT) / 2 AS DECIMAL(10, 2))") == [("CAST(b AS INT) / 2", "DECIMAL(10, 2)"), ("b", "INT")]
+    assert casts("'CAST(a AS INT)' || TRY_CAST(c AS INT) || broadcast(x)") == []
+
+
+def test_rows_that_fail_stop_nothing(spark):
+    from merchlake.plans.quarantine import map_apart
+
+    rows_ = [(1, "1.5", 3, [10]), (2, "x", 0, []), (3, None, None, None), (None, "2", 1, [1])]
+    df = spark.createDataFrame(rows_, "code int, price string, per int, l array<int>")
+    fields = {
+        "id": {"path": "code"}, "name": {"formula": "'p' || code"}, "list_price_try": {"formula": "CAST(price AS DOUBLE)"}, "sale_price_try": {"path": "price", "unit": "minor"},
+        "discount_rate": {"formula": "list_price_try * 2"}, "stock_qty": {"formula": "6 / per + l[0]", "required": True}, "currency": {"static": "TRY"}, "is_in_stock": {"path": "per"}, "url": {"none": True},
+    }
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    good, bad = map_apart(df, "s", fields)
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    got = [(r.id, r.list_price_try, r.sale_price_try, r.discount_rate, r.stock_qty, r.currency, r.is_in_stock) for r in good.collect()]
+    assert got == [("1", 1.5, 0.02, 3.0, 12, "TRY", True), ("2", None, None, None, None, "TRY", False), ("3", None, None, None, None, "TRY", None), (None, 2.0, 0.02, 4.0, 7, "TRY", True)]
+    errors = sorted((r.id, r.field, r.reason, r.value or "") for r in bad.collect())
+    assert errors == [("2", "list_price_try", "cast", "x"), ("2", "sale_price_try", "cast", "x"), ("2", "stock_qty", "null", ""), ("3", "stock_qty", "null", "")]
+    with pytest.raises(ValueError):
+        map_apart(df, "s", {"name": {"path": "code"}})
+    with pytest.raises(Exception, match="nope"):
+        map_apart(df, "s", {"id": {"path": "nope"}})
+
+
+def test_sites_from_files(spark, tmp_path):
+    import json
+
+    from merchlake.plans import sites
+
+    (tmp_path / "a.json").write_text(json.dumps({"product_id_field": "p.id", "drop_prefixes": ["ads"], "drop": ["images"], "add": {"image": "get(images, 0)"}, "field_mapping": {"id": {"strategy": "direct_path", "path": "p.id"}, "image_url": {"strategy": "direct_path", "path": "image"}, "name": {"strategy": "none", "required": True}}}))
+    (tmp_path / "b.json").write_text(json.dumps({"product_id_field": "id", "field_mapping": {"name": {"strategy": "static", "static": "x"}}}))
+    (tmp_path / "c.json").write_text("{}")
+    found = sites.sites(spark, f"file://{tmp_path}")
+    assert sorted(found) == ["a", "b"] and found["a"].drop == ("images",)
+    raw = spark.sql("SELECT named_struct('id', 7) AS p, array('u') AS images, named_struct('x', 1) AS ads, timestamp'2024-03-01 10:00:00' AS _ingested_at, id AS _row_id FROM range(2)")
+    good, bad, failed = sites.build(found, {"a": raw, "b": raw})
+    assert [(r.source_product_id, r.image_url, r.site_code) for r in good.collect()] == [("7", "u", "a")]
+    assert [tuple(r) for r in bad.collect()] == [("a", "7", "name", "null", None)] and [*failed] == ["b"]
+    assert sites.build({}, {}) == (None, None, {})
