@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -66,16 +65,14 @@ def measure(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int) ->
     return map_batches(docs.select("doc_id", "text"), run, PIECE)
 
 
-def reduce_and_pack(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], dict[str, int]]:
-    """Patterns (lengths in one sequence, how many such sequences) for a histogram of lengths.
+Patterns = list[tuple[tuple[int, ...], int]]
 
-    Also says how many pieces the reduction fixed, and a lower bound of sequences.
-    """
+
+def reduce(counts: dict[int, int], capacity: int) -> tuple[Patterns, dict[int, int]]:
+    """The sets that dominate, as patterns (lengths in one sequence, how many such sequences), and the histogram of what is left."""
     left = {s: n for s, n in counts.items() if n}
     sizes = sorted(left)
-    bound = -(-sum(s * n for s, n in left.items()) // capacity)
-    patterns: list[tuple[tuple[int, ...], int]] = []
-    fixed = 0
+    patterns: Patterns = []
 
     def take(s: int, n: int) -> None:
         left[s] -= n
@@ -103,12 +100,13 @@ def reduce_and_pack(counts: dict[int, int], capacity: int) -> tuple[list[tuple[t
                     n = min(n, left[others[-1]])
                     patterns.append(((s, others[-1]), n))
                     take(others[-1], n)
-                    fixed += n
                 take(s, n)
-                fixed += n
                 changed = True
+    return patterns, left
 
-    # best fit over sequences grouped by room; each holds (pattern, how many)
+
+def best_fit(left: dict[int, int], capacity: int) -> Patterns:
+    """Best fit over sequences grouped by room, longest first; each group holds (pattern, how many)."""
     rooms: list[int] = []
     held: dict[int, list[list]] = {}
 
@@ -118,7 +116,7 @@ def reduce_and_pack(counts: dict[int, int], capacity: int) -> tuple[list[tuple[t
             bisect.insort(rooms, room)
         held[room].append([pattern, n])
 
-    for s in reversed(sizes):
+    for s in sorted(left, reverse=True):
         n = left[s]
         while n:
             at = bisect.bisect_left(rooms, s)
@@ -141,11 +139,21 @@ def reduce_and_pack(counts: dict[int, int], capacity: int) -> tuple[list[tuple[t
                 held[room][-1][1] -= used
             put(room - s, (*pattern, s), used)
             n -= used
-    patterns += [(p, n) for group in held.values() for p, n in group]
-    return patterns, {"fixed": fixed, "bound": bound, "sequences": sum(n for _, n in patterns)}
+    return [(p, n) for group in held.values() for p, n in group]
+
+
+def reduce_and_pack(counts: dict[int, int], capacity: int) -> tuple[Patterns, dict[str, int]]:
+    """Patterns for a histogram of lengths.
+
+    Also says how many pieces the reduction fixed, and a lower bound of sequences.
+    """
+    fixed, left = reduce(counts, capacity)
+    patterns = fixed + best_fit(left, capacity)
+    bound = -(-sum(s * n for s, n in counts.items()) // capacity)
+    return patterns, {"fixed": sum(len(p) * n for p, n in fixed), "bound": bound, "sequences": sum(n for _, n in patterns)}
 
 
-def slots(patterns: Iterable[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
+def slots(patterns: Patterns) -> list[tuple[int, int, int, int, int, int]]:
     """Ranges of ranks within a length: (length, first rank, end rank, first sequence, per sequence, offset).
 
     Piece number q of its length, first <= q < end, goes to sequence
