@@ -16,15 +16,32 @@ kept AS (SELECT pos.doc_id, string_agg(w, ' ' ORDER BY pos.p) AS kept, COUNT(*)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - COALESCE(n, 0) AS BIGINT) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
-LINES = rf"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL),
-p AS (SELECT *, regexp_matches(line, {_WORDS}) AS own, LEAD(line) OVER w AS next, LEAD(regexp_matches(line, {_WORDS})) OVER w AS also FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-t AS (SELECT *, own AND also AND ROW_NUMBER() OVER (PARTITION BY line, next ORDER BY doc_id, pos) > 1 AS twice FROM p),
-m AS (SELECT *, COALESCE(twice, false) OR COALESCE(LAG(twice) OVER (PARTITION BY doc_id ORDER BY pos), false) AS gone FROM t),
+def lines(depth: int = 14) -> str:
+    """Runs shorter than 2**depth lines: digests of blocks of 2**k lines, each made of two of half the length; only blocks that occur twice go on."""
+    here = "{'doc': doc_id, 'pos': pos}"
+    block = """b{k} AS MATERIALIZED (SELECT *, MIN({here}) OVER (PARTITION BY h) AS first FROM ({rows}) QUALIFY COUNT(*) OVER (PARTITION BY h) > 1)"""
+    rows = ["SELECT doc_id, pos, md5(line) AS h FROM l WHERE own"] + [f"SELECT a.doc_id, a.pos, md5(a.h || b.h) AS h FROM b{k} a JOIN b{k} b ON b.doc_id = a.doc_id AND b.pos = a.pos + {1 << k}" for k in range(depth)]
+    blocks = ",\n".join(block.format(k=k, here=here, rows=r) for k, r in enumerate(rows))
+    later = " UNION ALL ".join(f"SELECT doc_id, pos, {k} AS k, first FROM b{k} WHERE first < {here}" for k in range(depth + 1))
+    # the common prefix with the earlier copy, by halving steps
+    grow = [f"g{depth} AS (SELECT * FROM starts)"]
+    for k in range(depth - 1, -1, -1):
+        grow.append(f"g{k} AS MATERIALIZED (SELECT g.doc_id, g.pos, g.k, g.first, n + CASE WHEN g.k > {k} AND m.h = t.h THEN {1 << k} ELSE 0 END AS n FROM g{k + 1} g LEFT JOIN b{k} m ON m.doc_id = g.doc_id AND m.pos = g.pos + n LEFT JOIN b{k} t ON t.doc_id = g.first.doc AND t.pos = g.first.pos + n)")
+    return rf"""
+WITH l AS MATERIALIZED (SELECT doc_id, pos, line, regexp_matches(line, {_WORDS}) AS own FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents WHERE text IS NOT NULL)),
+{blocks},
+deep AS MATERIALIZED (SELECT doc_id, pos, MAX(k) AS k, arg_max(first, k) AS first FROM ({later}) GROUP BY 1, 2),
+starts AS MATERIALIZED (SELECT d.doc_id, d.pos, d.k, d.first, CAST(1 AS BIGINT) << d.k AS n FROM deep d LEFT JOIN deep e ON e.doc_id = d.doc_id AND e.pos = d.pos - 1 WHERE e.first IS NULL OR e.first.doc <> d.first.doc OR e.first.pos + 1 <> d.first.pos),
+{("," + chr(10)).join(grow)},
+runs AS (SELECT * FROM g0 WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM runs),
+r AS (SELECT doc_id, COUNT(*) AS n_runs, MAX(n) AS longest_run FROM runs GROUP BY 1),
+m AS (SELECT l.*, gone.pos IS NOT NULL AS gone FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.pos = l.pos),
 g AS (SELECT *, pos - ROW_NUMBER() OVER (PARTITION BY doc_id, gone ORDER BY pos) AS island FROM m),
 i AS (SELECT doc_id, MAX(n) AS longest FROM (SELECT doc_id, island, COUNT(*) AS n FROM g WHERE gone GROUP BY 1, 2) GROUP BY 1),
 k AS (SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_removed, COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM m GROUP BY 1)
-SELECT d.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0) AS n_removed, COALESCE(longest, 0) AS longest_gap, sha256(CASE WHEN n_removed > 0 AND NOT regexp_matches(kept, {_WORDS}) THEN '' ELSE COALESCE(kept, '') END) AS kept_sha256 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
+SELECT d.doc_id, COALESCE(n_lines, 0) AS n_lines, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_runs, 0) AS n_runs, CAST(COALESCE(longest_run, 0) AS BIGINT) AS longest_run, COALESCE(longest, 0) AS longest_gap,
+  sha256(CASE WHEN n_removed > 0 AND NOT regexp_matches(kept, {_WORDS}) THEN '' ELSE COALESCE(kept, '') END) AS kept_sha256 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id LEFT JOIN r ON r.doc_id = d.doc_id
 """
 
 
@@ -97,4 +114,4 @@ SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT)
 """
 
 
-ORACLE = {"op2_substrings": SUBSTRINGS, "op3_quality_rules": quality(), "op6_line_runs": LINES, "op11_resampling": resampling(), "op12_vector_codes": vector_codes()}
+ORACLE = {"op2_substrings": SUBSTRINGS, "op3_quality_rules": quality(), "op6_line_runs": lines(), "op11_resampling": resampling(), "op12_vector_codes": vector_codes()}

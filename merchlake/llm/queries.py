@@ -54,7 +54,7 @@ def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_runs import dedup
 
     out = dedup(documents(spark, sf_dir).select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_removed", "longest_gap", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", "longest_run", "longest_gap", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
