@@ -490,6 +490,42 @@ def test_mixture_of_six_languages(spark):
     assert set(got[2]) == {"l4"} and set(got[3]) == {"l1", "l2"}
 
 
+def test_mixtures_against_all_sets_of_languages(docs, texts):
+    """Short texts of three languages against EM to the end over every set: the chosen set is as likely, or as good as, the best."""
+    rng = random.Random(21)
+    by = collections.defaultdict(list)
+    for r in docs.collect():
+        if r.text and len(r.text) < 20_000:
+            by[r.lang] += re.findall(r"\w+", r.text)
+    names = sorted(x for x in by if x)[:3]
+    counts = np.stack([np.bincount(languages.trigrams(" ".join(by[x])), minlength=languages.BINS) for x in names])
+    model = languages.Mixture(names, counts)
+    rate = (counts + languages.SMOOTHING) / (counts + languages.SMOOTHING).sum(axis=1, keepdims=True)
+    said = []
+    for _ in range(120):
+        own = rng.sample(names, rng.randint(1, 3))
+        said.append(" ".join(" ".join(rng.choices(by[x], k=rng.randint(8, 40))) for x in own))
+    same, worse = 0, 0
+    for text, (lang, share, mixture) in zip(said, model.predict(said), strict=True):
+        p = rate[:, languages.trigrams(text)].T * languages.BINS
+        cost = languages.PENALTY * 0.5 * math.log(len(p))
+        found = {}
+        for bits in range(1, 8):
+            own = [j for j in range(3) if bits >> j & 1]
+            pi = np.full(len(own), 1 / len(own))
+            for _ in range(300):
+                r = p[:, own] * pi
+                pi = (r / r.sum(axis=1, keepdims=True)).mean(axis=0)
+            found[frozenset(own)] = (float(np.log(p[:, own] @ pi).sum()) - cost * (len(own) - 1), dict(zip(own, pi, strict=True)))
+        best_set = max(found, key=lambda s: found[s][0])
+        chosen = frozenset(names.index(x) for x, _ in mixture)
+        worse += found[best_set][0] - found[chosen][0] > 0.5
+        same += chosen == best_set
+        if chosen == best_set:
+            assert all(abs(v - found[chosen][1][names.index(x)]) < 0.05 for x, v in mixture) and share == pytest.approx(max(v for _, v in mixture), abs=1e-6) and lang == mixture[0][0]
+    assert worse == 0 and same >= 115, (same, worse)
+
+
 # --- lines -----------------------------------------------------------------------
 
 
@@ -573,7 +609,6 @@ def test_runs_of_two_lines_or_more(spark):
 
 def check_packing(rows, texts, capacity):
     tok = Tokenizer.from_file(BYTES)
-    tok.encode_special_tokens = True
     full = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 2] for i, t in texts.items()}
     seen, bins = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
@@ -624,6 +659,20 @@ def test_reduction_and_best_fit_are_near_the_optimum():
             assert info["sequences"] == best(sizes, 20)
 
 
+def test_the_reduction_loses_no_optimum():
+    """What it fixes and an optimal packing of the rest are an optimal packing of all."""
+    rng, fixed_some = random.Random(5), 0
+    for _ in range(400):
+        capacity = rng.choice([7, 12, 20])
+        sizes = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+        fixed, left = packing.reduce(collections.Counter(sizes), capacity)
+        rest = [s for s, n in left.items() for _ in range(n)]
+        assert sum(n for _, n in fixed) + (best(rest, capacity) if rest else 0) == best(sizes, capacity)
+        assert collections.Counter(rest) + collections.Counter(s for p, n in fixed for s in p * n) == collections.Counter(sizes)
+        fixed_some += 0 < len(rest) < len(sizes)
+    assert fixed_some > 20
+
+
 def best(sizes, capacity):
     sizes = sorted(sizes, reverse=True)
 
@@ -707,7 +756,6 @@ def test_piece_queries(docs, awkward, nothing):
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(docs, texts, awkward, nothing, rule):
     tok = Tokenizer.from_file(BYTES)
-    tok.encode_special_tokens = True
     got = collections.defaultdict(list)
     for r in token_counts.token_counts(docs, BYTES, rule).collect():
         got[r.doc_id].append(r)
