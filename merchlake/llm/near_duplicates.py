@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Grams, Stage, map_batches, mix, word_hashes, word_list
+from .line_runs import join_counted
 from .substrings import small_side
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
-#: Copies of a hot member that its comparisons are dealt over.
-SALTS = 16
+#: Comparisons of one member that a task makes, about; a member with more is dealt over as many tasks as that takes.
+DEALT = 500
 #: Nodes that share a shingle, a task's share of them.
 BLOCK = 2000
 #: Longs of the bitmap that bounds by how many shingles two texts differ.
@@ -132,8 +133,10 @@ def prob_jaccard(ea: np.ndarray, ca: np.ndarray, eb: np.ndarray, cb: np.ndarray)
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
-    """a, b, similarity of pairs (a, b). b may be hot: its set is dealt over salts."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    """a, b, similarity of pairs (a, b). b may be hot: its set is dealt over salts, by how many pairs it has."""
+    pairs = stage.write(pairs.select("a", "b"), "to-compare")
+    hot_ones = stage.write(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > DEALT).select("b", F.ceil(F.col("n") / DEALT).alias("salts")), "hot")
+    salted = pairs.join(small_side(hot_ones), "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1))).alias("salt"))
     hot = salted.select("b", "salt").distinct().join(sets.select(F.col("node").alias("b"), F.col("e").alias("eb"), F.col("n").alias("nb")), "b")
     both = salted.join(sets.select(F.col("node").alias("a"), F.col("e").alias("ea"), F.col("n").alias("na")), "a").join(hot, ["b", "salt"]).select("a", "b", "ea", "na", "eb", "nb")
 
@@ -141,7 +144,9 @@ def _compare(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
         sims = [prob_jaccard(*x, *y) for x, y in zip(_sets_of(c["ea"], c["na"]), _sets_of(c["eb"], c["nb"]), strict=True)]
         return pa.RecordBatch.from_arrays([c["a"], c["b"], pa.array(sims, pa.float64())], ["a", "b", "similarity"])
 
-    return stage.write(map_batches(both, run, "a long, b long, similarity double"), "compared")
+    out = stage.write(map_batches(both, run, "a long, b long, similarity double"), "compared")
+    stage.drop(pairs, hot_ones)
+    return out
 
 
 def _sets_of(es, ns):
@@ -203,8 +208,9 @@ def _rarities(nodes: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.concatenate([e.view(np.int64) for e, _ in found])), pa.array(np.concatenate([w / w.sum() for w in weights]))], ["node", "shingle", "weight"])
 
     own = stage.write(map_batches(sets.join(nodes, "node", "left_semi").select("node", "e", "n"), run, "node long, shingle long, weight double"), "shingles")
-    out = stage.write(own.join(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), "shingle").select("node", "shingle", "weight", "df"), "rarities")
-    stage.drop(own)
+    per = stage.write(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).withColumn("n", F.col("df")), "df")
+    out = stage.write(join_counted(own, per, ["shingle"]).select("node", "shingle", "weight", "df"), "rarities")
+    stage.drop(own, per)
     return out
 
 
@@ -272,9 +278,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     usable = found.where("doc_id IS NOT NULL AND f1 IS NOT NULL")
     # equal weighted shingles: one node, the smallest doc_id
     nodes = stage.write(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("node")), "nodes")
-    members = usable.join(nodes, [usable.doc_id == nodes.node, usable.f1 == nodes.f1, usable.f2 == nodes.f2]).select("node", F.explode("bands").alias("bucket")).distinct()
-    buckets = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    held = stage.write(members.join(buckets.select("bucket", "least"), "bucket"), "buckets")
+    members = stage.write(usable.join(nodes, [usable.doc_id == nodes.node, usable.f1 == nodes.f1, usable.f2 == nodes.f2]).select("node", F.explode("bands").alias("bucket")).distinct(), "members")
+    buckets = stage.write(members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most").drop("most"), "shared")
+    held = stage.write(join_counted(members, buckets, ["bucket"]), "buckets")
+    stage.drop(members, buckets)
     candidates = stage.write(held.select("node").distinct(), "candidates")
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(small_side(candidates), "node")
 

@@ -184,6 +184,31 @@ def test_classes_of_awkward_rows(awkward, nothing):
     assert near_duplicates.classes(nothing).count() == 0
 
 
+def test_a_hot_member_is_dealt_by_how_many_pairs_it_has(spark, monkeypatch):
+    """1200 near-copies of one text are compared with its first member in several groups, and form one class."""
+    from merchlake.llm.common import Stage
+
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(1200):
+        own = list(base)
+        own[i % 300] = f"x{i}"
+        rows.append((i, " ".join(own), "en"))
+    seen = []
+    write = Stage.write
+
+    def watch(self, df, label="t"):
+        out = write(self, df, label)
+        if label == "hot":
+            seen.extend(r.salts for r in out.collect())
+        return out
+
+    monkeypatch.setattr(Stage, "write", watch)
+    got = near_duplicates.classes(frame(spark, rows)).collect()
+    assert {r.class_id for r in got} == {0} and max(seen) == 3
+
+
+
 # --- substrings ------------------------------------------------------------------
 
 
