@@ -91,14 +91,14 @@ def token_counts(docs: DataFrame, tokenizer_path: str, rule: str = "first", sect
     characters, a document's share of which fits one task; without it
     the sections are the lines, numbered from 0, each with its line feed.  A
     null text has no sections; an empty one has one line without tokens.
-    Rows that share a doc_id are counted each for itself.
+    Rows that share a doc_id are counted each for itself; sections of a null doc_id belong to no document.
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
     given = sections is not None
     cols = docs.select("doc_id", "text")
     if given:
-        spans = sections.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "section"))).alias("spans"))
+        spans = sections.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "section"))).alias("spans"))
         cols = cols.join(spans, "doc_id")
 
     def run(c: dict) -> pa.RecordBatch:
