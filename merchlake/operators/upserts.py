@@ -76,6 +76,12 @@ def union_sources(*frames: DataFrame, schema: dict[str, str]) -> DataFrame:
     return out
 
 
+def with_defaults(df: DataFrame, **defaults: Column) -> DataFrame:
+    """Each named column as it is, its default where it is null or missing: ``created_at=F.current_timestamp()``, say."""
+    have = set(df.columns)
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`"), d) if c in have else d for c, d in defaults.items()})
+
+
 def with_surrogate(df: DataFrame, keys: Sequence[str], name: str = "id") -> DataFrame:
     """A surrogate id that follows from the natural key, the same in every run: MD5 of its parts, parted by ``|``, null as ``\\N``."""
     part = lambda k: F.coalesce(F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")), F.lit("\\N"))

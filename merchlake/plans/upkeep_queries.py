@@ -392,3 +392,23 @@ def clean_text_entities(spark, d):
 
     x = F.concat(F.lit("\ufeff&amp;lt;b&amp;gt;&#8203;"), "p_name", F.lit("\u00a0\u2060ﬁ&nbsp;½\t&amp;\n"), "p_brand", F.lit(" \u200d"))
     return table(spark, d, "part").select("p_partkey", X.clean_text(x).alias("cleaned"), X.normalize_key(x).alias("key"))
+
+
+@query("SELECT c_custkey, COALESCE(CASE WHEN c_nationkey > 10 THEN 'given' END, 'none') AS mark, true AS fresh FROM customer")
+def defaults_of_new_rows(spark, d):
+    """Rows that come without marks and times get them: a constant, and the time of the run."""
+    from ..operators import upserts
+
+    c = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_nationkey") > 10, "given").alias("mark"))
+    began = spark.sql("SELECT current_timestamp() AS t").first().t
+    out = upserts.with_defaults(c, mark=F.lit("none"), synced_at=F.current_timestamp())
+    return out.select("c_custkey", "mark", F.col("synced_at").between(F.lit(began), F.lit(began) + F.expr("INTERVAL 1 DAY")).alias("fresh"))
+
+
+@query("SELECT CAST(ROW_NUMBER() OVER (ORDER BY value DESC, user_id, event_id) - 1 AS INTEGER) AS place, user_id, event_id, value AS pct_drop FROM events QUALIFY place < 50")
+def report_in_order(spark, d):
+    """The first fifty lines of a report, with their places."""
+    from . import price_drops
+
+    top = price_drops.report(table(spark, d, "events").select("user_id", "event_id", F.col("value").alias("pct_drop")), ["user_id", "event_id"]).limit(50)
+    return top.agg(F.collect_list(F.struct("user_id", "event_id", "pct_drop")).alias("lines")).select(F.posexplode("lines").alias("place", "line")).select("place", "line.*")
