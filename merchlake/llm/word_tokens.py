@@ -25,6 +25,8 @@ from .common import Recent
 _UNITS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Letters that normal forms may change, and the one below them whose lower case is two characters.
 _FAR = re.compile("[^\x00-\u012f\u0131-\u02ff]")
+#: Marks that often end a word; a run of them is one unit.
+_MARKS = ".,;:!?)\"]"
 #: Stands for the end of a word; no byte of UTF-8.
 _END = b"\xff"
 
@@ -41,7 +43,8 @@ class WordTokens:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.unit = self._merges({p: i for p, i in self.tokenizer.get_vocab().items() if p not in added})
-        self.units, self.words = Recent(self._unit, 150_000), Recent(self._word, 200_000)
+        #: Of words in lower case and without far letters, of units that are no letters, and of all other words.
+        self.words, self.units, self.others = Recent(self._word, 400_000), Recent(self._unit, 50_000), Recent(self._other, 50_000)
 
     def _merges(self, vocab: dict[str, int]):
         """A function from bytes to ids, with the end of a word as one more byte: joining it to the byte before comes first, since its ids are below those of merges."""
@@ -58,11 +61,15 @@ class WordTokens:
         return array(self.code, self.unit(unit.encode() + _END)).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if _FAR.search(word):
-            return self._whole(word)
         if word.isalpha():
-            return self.units[word.lower()]
-        return b"".join(map(self.units.__getitem__, _UNITS.findall(word.lower())))
+            return self._unit(word)
+        core = word.rstrip(_MARKS)
+        if core.isalpha():
+            return self.words[core] + self.units[word[len(core) :]]
+        return b"".join(map(self.units.__getitem__, _UNITS.findall(word)))
+
+    def _other(self, word: str) -> bytes:
+        return self._whole(word) if _FAR.search(word) else self.words[word.lower()]
 
     def ids(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned integers of ``kind``."""
@@ -71,8 +78,8 @@ class WordTokens:
         if "<" in text and self.added.search(text):
             return self._whole(text)
         if text.isascii() or not _FAR.search(text):
-            text = text.lower()
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+            return b"".join(map(self.words.__getitem__, text.lower().replace("\n", " ").split(" ")))
+        return b"".join(map(self.others.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _made: dict[str, WordTokens] = {}
