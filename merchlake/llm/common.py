@@ -85,6 +85,11 @@ class Stage:
         out._staged_path = path
         return out
 
+    def drop_part(self, table: DataFrame, folder: str) -> None:
+        """Remove one folder of a table that ``write_by`` wrote."""
+        path, files = hadoop_path(self.spark, f"{table._staged_path}/{folder}")
+        files.delete(path, True)
+
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables, and let go of the shuffle files of finished steps."""
         for t in tables:
@@ -110,6 +115,23 @@ def table_bytes(table: DataFrame) -> int:
     return files.getContentSummary(path).getLength()
 
 
+#: A key that holds one part in HOT of all rows is joined by a broadcast; there are HOT of them at most.
+HOT = 1000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, by: list[str]) -> DataFrame:
+    """rows joined with keyed, which has each key once with n, how many of the rows have it; n goes.
+
+    rows and keyed are staged.  Keys that hold a thousandth of the rows each
+    never number more than a thousand: those are broadcast, so that no task
+    gets all the rows of one.
+    """
+    few = F.col("n") * HOT < rows.count()
+    hot, cold = keyed.where(~few).drop("n"), keyed.where(few).drop("n")
+    rest = rows.join(F.broadcast(hot.select(*by)), by, "left_anti")
+    return rows.join(F.broadcast(hot), by).unionByName(rest.join(cold, by))
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], pa.RecordBatch | None], schema) -> DataFrame:
     """Apply fn to slices of Arrow batches given as Python lists; slices hold about 4 MB of text at most, and one row at least."""
 

@@ -21,25 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Stage, map_batches
+from .common import HOT, LAST_ID, Stage, join_counted, map_batches
 from .substrings import small_side
 
-AT = ["doc", "key", "pos"]
-#: A key that holds one part in HOT of all rows is joined by a broadcast; there are HOT of them at most.
-HOT = 1000
-
-
-def join_counted(rows: DataFrame, keyed: DataFrame, by: list[str]) -> DataFrame:
-    """rows joined with keyed, which has each key once with n, how many of the rows have it; n goes.
+__all__ = ["HOT", "dedup", "join_counted", "levels", "line_ids", "repeated_runs"]
 
-    rows and keyed are staged.  Keys that hold a thousandth of the rows each
-    never number more than a thousand: those are broadcast, so that no task
-    gets all the rows of one.
-    """
-    few = F.col("n") * HOT < rows.count()
-    hot, cold = keyed.where(~few).drop("n"), keyed.where(few).drop("n")
-    rest = rows.join(F.broadcast(hot.select(*by)), by, "left_anti")
-    return rows.join(F.broadcast(hot), by).unionByName(rest.join(cold, by))
+AT = ["doc", "key", "pos"]
 
 
 def line_ids(docs: DataFrame) -> DataFrame:

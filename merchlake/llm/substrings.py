@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Grams, Stage, hadoop_path, map_batches, table_bytes, word_hashes, word_list
+from .common import LAST_ID, Grams, Stage, hadoop_path, join_counted, map_batches, table_bytes, word_hashes, word_list
 
 CONTEXT = ["anchor", "context", "check"]
 #: Tables up to this many bytes on disk are broadcast; larger ones are joined by a shuffle.
@@ -231,15 +231,16 @@ def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts
     texts (doc, key, text, new) has the batch (new) and, unless the index keeps windows, all that is indexed.
     """
     first, kept = F.struct("doc", "key", "lo", "hi"), [F.min("windows").alias("windows")] if index.windows else []
-    new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last"), *kept), "contexts")
-    fresh = new.select(*CONTEXT, "first", F.lit(True).alias("fresh"), (F.col("last") > F.col("first.doc")).alias("again"))
+    new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), *kept), "contexts")
+    fresh = new.select(*CONTEXT, "first", "n", F.lit(True).alias("fresh"), (F.col("last") > F.col("first.doc")).alias("again"))
     known, old = fresh, None
     if index.runs:  # the merge-join of the batch with the runs
         old = stage.write(index.held(new.select("anchor").distinct()), "old")
-        known = fresh.unionByName(old.select(*CONTEXT, "first", F.lit(False).alias("fresh"), F.lit(True).alias("again")))
-    # 1. whole segments that an earlier document holds
-    holders = known.where("again").groupBy(*CONTEXT).agg(F.min("first.doc").alias("holder"))
-    whole = own.join(holders, CONTEXT).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("hi") + window).alias("end"))
+        known = fresh.unionByName(old.select(*CONTEXT, "first", F.lit(0).cast("long").alias("n"), F.lit(False).alias("fresh"), F.lit(True).alias("again")))
+    # 1. whole segments that an earlier document holds; n: how many segments of the batch have the context
+    holders = known.groupBy(*CONTEXT).agg(F.min("first.doc").alias("holder"), F.max("n").alias("n"), F.max("again").alias("again")).where("again AND n > 0").drop("again")
+    holders = stage.write(holders, "holders")
+    whole = join_counted(own, holders, CONTEXT).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("hi") + window).alias("end"))
     # 2. windows, where an anchor has several contexts in several documents
     open_anchors = (
         known.groupBy("anchor")
@@ -252,11 +253,11 @@ def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts
     if index.windows and old is not None:
         found = found.unionByName(_stored_windows(first_holders(old, True).join(open_anchors, "anchor", "left_semi")))
     windows = stage.write(found, "windows")
-    twice = windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last")).where("holder < last").select("w1", "w2", "holder")
-    single = windows.where("new").join(twice, ["w1", "w2"]).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("lo") + window).alias("end"))
+    twice = stage.write(windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("holder < last").drop("last"), "twice")
+    single = join_counted(windows.where("new"), twice, ["w1", "w2"]).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("lo") + window).alias("end"))
     spans = stage.write(whole.unionByName(single), "spans")
     index.add(new)
-    stage.drop(lists, windows, new, *([old] if old is not None else []))
+    stage.drop(lists, windows, twice, holders, new, *([old] if old is not None else []))
     return spans
 
 
@@ -278,6 +279,7 @@ def removed_spans(docs: DataFrame, window: int = 50, gram: int = 25, batches: in
         texts = _numbered(docs).withColumn("new", F.col("doc") > edges[b - 1] if b else F.lit(True))
         spans = _found_in_batch(stage, index, found.where(F.col("batch") == b).drop("batch"), texts, window)
         out = spans if out is None else out.unionByName(spans)
+        stage.drop_part(found, f"batch={b}")
     stage.drop(found)
     index.close()
     return _by_row(out, stage)
