@@ -12,6 +12,7 @@ from ..functions.text import clean_text, name_with_brand, normalize_key
 from ..operators.rows import first_per_key, latest_per_key
 from ..operators.upserts import append_by_name, replace_by_keys
 from ..schemas import SILVER
+from ..sources import manifests
 from ..sources.records import drop_prefixes, flatten, quoted, whitelist
 
 #: Columns that a lookup may add to a source's records; null where it is absent.
@@ -80,3 +81,14 @@ def replace_runs(history: DataFrame | None, batch: DataFrame) -> DataFrame:
     if history is None or set(history.columns) != set(batch.columns):
         return batch
     return replace_by_keys(history, batch, ["site_code", "fetch_at"])
+
+
+def store_runs(batch: DataFrame, root: str, source: tuple[str, int] | None = None) -> int:
+    """``replace_runs`` on a stored history: only the partitions of the batch's (site, run) pairs are written, another schema starts it anew.
+
+    source is a stream's name and the number of its batch, which is then written once.
+    """
+    spark = batch.sparkSession
+    last = manifests.manifest(spark, root)
+    anew = last is not None and {f["name"] for f in last["schema"]["fields"]} != set(batch.columns)
+    return manifests.write(batch, root, ["site_code", "fetch_at"], batch=source, rebuild=True, anew=anew)

@@ -75,13 +75,13 @@ def merged(old: StructType, new: StructType) -> StructType | None:
     return StructType([*old, *(f for f in new if f.name not in have)])
 
 
-def write(df: DataFrame, root: str, keys: Sequence[str], batch: tuple[str, int] | None = None, rebuild: bool = False) -> int:
+def write(df: DataFrame, root: str, keys: Sequence[str], batch: tuple[str, int] | None = None, rebuild: bool = False, anew: bool = False) -> int:
     """Replace the table's partitions whose keys df has, null keys too, by the rows of df; the number of the new list.
 
     Writing the same rows again changes nothing but their folders.  batch,
     a stream's name and number, is remembered: one that is not newer than the stream's last one is not
     written again.  Where a shared column has another type the table starts anew if
-    rebuild says so, else this is an error.  Rows of one large partition are
+    rebuild says so, else this is an error; with anew it does in any case.  Rows of one large partition are
     written by several tasks.
     """
     spark, last = df.sparkSession, manifest(df.sparkSession, root)
@@ -89,7 +89,9 @@ def write(df: DataFrame, root: str, keys: Sequence[str], batch: tuple[str, int]
         return last["number"]
     schema = StructType([f.__class__(f.name, f.dataType, True) for f in df.schema])
     kept, batches = [], {}
-    if last:
+    if last and anew:
+        batches = last["batches"]
+    elif last:
         if last["keys"] != [*keys]:
             raise ValueError(f"the table's keys are {last['keys']}")
         both = merged(StructType.fromJson(last["schema"]), schema)

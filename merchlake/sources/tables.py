@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Sequence
 
@@ -15,12 +17,15 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, ``spark.checkpoint.dir``; a temporary one where they are one machine."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; where they are one machine and it is not set, one temporary folder for the session, which goes with the process."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("merchlake.work.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names the folder that driver and executors share; it is not set")
-        found = "file://" + tempfile.mkdtemp(prefix="merchlake-")
+        folder = tempfile.mkdtemp(prefix="merchlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        found = f"file://{folder}"
+        spark.conf.set("merchlake.work.dir", found)
     return found.rstrip("/")
 
 

@@ -102,6 +102,18 @@ def test_a_stream_writes_a_batch_once(spark, tmp_path):
     assert manifests.manifest(spark, root)["batches"] == {"s": 0, "other": 0}
 
 
+def test_a_stored_history(spark, tmp_path):
+    from merchlake.plans import history
+
+    root, columns = f"file://{tmp_path}/h", "site_code string, fetch_at timestamp, x long"
+    history.store_runs(frame(spark, [("a", R1, 1), ("a", R2, 2), ("b", R1, 3)], columns), root)
+    for _ in range(2):
+        history.store_runs(frame(spark, [("a", R2, 20)], columns), root, ("runs", 7))
+    assert sorted(r.x for r in manifests.read(spark, root).collect()) == [1, 3, 20] and manifests.manifest(spark, root)["number"] == 2
+    history.store_runs(frame(spark, [("c", R1, 5, "z")], columns + ", more string"), root)
+    assert [tuple(r)[2:] for r in manifests.read(spark, root).collect()] == [(5, "z")]
+
+
 # --- streams with state -----------------------------------------------------------------
 
 
