@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -136,19 +137,32 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], pa.RecordBatch |
     """Apply fn to slices of Arrow batches given as Python lists; slices hold about 4 MB of text at most, and one row at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = max(1, min(b.num_rows, int(4_000_000 * b.num_rows / max(1, b.nbytes))))
-            for at in range(0, b.num_rows, rows):
-                part = b.slice(at, rows)
-                out = fn({n: part.column(i) for i, n in enumerate(part.schema.names)})
-                if out is not None and out.num_rows:
-                    yield out
+        try:
+            for b in batches:
+                rows = max(1, min(b.num_rows, int(4_000_000 * b.num_rows / max(1, b.nbytes))))
+                for at in range(0, b.num_rows, rows):
+                    part = b.slice(at, rows)
+                    out = fn({n: part.column(i) for i, n in enumerate(part.schema.names)})
+                    if out is not None and out.num_rows:
+                        yield out
+        finally:
+            b = part = out = None
+            give_back()
 
     if not isinstance(schema, str):
         schema = StructType([StructField(f.name, f.dataType, True) for f in schema])
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system: Python workers live on, and what they keep adds up over an executor's stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def word_list(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8; bytes.split() splits at just these six characters."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
