@@ -14,6 +14,8 @@ from ..functions.text import slugify
 
 #: Fixed value: the ending of the JSON files that lie beside archived pages.
 SIDECAR = ".meta.json"
+#: What ``write_pages`` tells of a page in its sidecar.
+TOLD = {"fetch_timestamp": "string", "site": "string", "category_id": "long", "category_name": "string", "page": "long", "plugin_version": "string", "http_status": "long", "content_hash": "string"}
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -28,8 +30,9 @@ def contents(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return files.where(is_page(F.col("path"))).select(F.col("path").alias("name"), F.col("modificationTime").alias("modified"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
-def sidecars(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*" + SIDECAR).json(root)
+def sidecars(spark: SparkSession, root: str, schema: str = ", ".join(f"{k} {v}" for k, v in TOLD.items())) -> DataFrame:
+    """What the sidecars below root tell, in the fields of schema. It is not inferred: that opens each file anew, one after the other."""
+    return spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*" + SIDECAR).json(root)
 
 
 def is_page(name: Column, extension: str | None = None) -> Column:
@@ -63,8 +66,7 @@ def write_pages(pages: DataFrame, root: str, version: str = "1") -> int:
     the same files; of equal pages of one day and category the last written
     sidecar stays.  Null contents are left out.
     """
-    told = ("fetch_timestamp", "site", "category_id", "category_name", "page", "plugin_version", "http_status", "content_hash")
-    meta = F.to_json(F.struct(*told), {"ignoreNullFields": "false"})
+    meta = F.to_json(F.struct(*TOLD), {"ignoreNullFields": "false"})
     rows = named(pages.where("content IS NOT NULL")).withColumn("plugin_version", F.lit(version)).select("name", "content", meta.alias("meta"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

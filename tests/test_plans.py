@@ -282,3 +282,14 @@ def test_profile_by_sketches(spark):
     df = spark.range(1000).selectExpr("id", "id % 10 AS few")
     got = {r.path: r.distinct_count for r in reports.profile(df, distinct_error=0.02).collect()}
     assert got["few"] == 10 and abs(got["id"] - 1000) < 100
+
+
+def test_sidecars_are_read_without_a_pass_to_infer_them(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"p{i}.html{archive.SIDECAR}").write_text(f'{{"page": {i},\n "site": "a", "http_status": 200, "more": "x"}}')
+    spark.sparkContext.setJobGroup("sidecars", "")
+    told = archive.sidecars(spark, f"file://{tmp_path}")
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("sidecars")) == []
+    assert told.columns == list(archive.TOLD)
+    assert sorted(r.page for r in told.collect()) == [0, 1, 2]
+    assert sorted(r.more for r in archive.sidecars(spark, f"file://{tmp_path}", "page long, more string").collect()) == ["x"] * 3
