@@ -100,9 +100,12 @@ def sessions_by_range(df: DataFrame, keys: Sequence[str], when: str, gap: str, f
 
 
 def run_stamps(objects: DataFrame, site: str = "site", when: str = "modified", gap: str = "15 MINUTES", run_time=None) -> DataFrame:
-    """Adds run_at: the end of the object's session, or run_time where the whole backlog of a site is one session."""
+    """Adds run_at: the end of the object's session, or run_time where the whole backlog of a site is one session.
+
+    run_time is a value, or a column that is null for sites whose run has no time of its own: they keep the session's end.
+    """
     out = sessions(objects, [site], when, gap, ["name"])
     if run_time is None:
         return out.withColumnRenamed("session_end", "run_at")
     one = F.max("session").over(Window.partitionBy(site)) == 1
-    return out.withColumn("run_at", F.when(one, F.lit(run_time)).otherwise(F.col("session_end"))).drop("session_end")
+    return out.withColumn("run_at", F.when(one, F.coalesce(F.lit(run_time), F.col("session_end"))).otherwise(F.col("session_end"))).drop("session_end")

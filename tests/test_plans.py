@@ -293,3 +293,10 @@ def test_sidecars_are_read_without_a_pass_to_infer_them(spark, tmp_path):
     assert told.columns == list(archive.TOLD)
     assert sorted(r.page for r in told.collect()) == [0, 1, 2]
     assert sorted(r.more for r in archive.sidecars(spark, f"file://{tmp_path}", "page long, more string").collect()) == ["x"] * 3
+
+
+def test_a_site_without_a_run_time_keeps_the_end_of_its_only_run(spark):
+    df = spark.createDataFrame([("s", "0", dt.datetime(2024, 1, 1, 10)), ("s", "1", dt.datetime(2024, 1, 1, 10, 5)), ("t", "2", dt.datetime(2024, 1, 1, 9))], "site string, name string, modified timestamp")
+    own = F.when(F.col("site") == "t", F.lit(dt.datetime(2024, 5, 5)))
+    got = {r.name: r.run_at for r in rows.run_stamps(df, run_time=own).collect()}
+    assert got == {"0": dt.datetime(2024, 1, 1, 10, 5), "1": dt.datetime(2024, 1, 1, 10, 5), "2": dt.datetime(2024, 5, 5)}
