@@ -1,9 +1,8 @@
-"""Byte-level BPE ids of whole documents, one lookup per word.
+"""Byte-level BPE ids of whole documents.
 
-A byte-level tokenizer never merges across the start of a word that follows a
-single space or a line feed, so a text is the concatenation of its words'
-ids.  Words repeat; their ids are looked up, and only new words are encoded,
-with the merges of the same vocabulary.  Texts with any other white space, and
+Where white space is single blanks and line feeds between words, the tokenizer's
+split of a text into units is a plain pattern without look-ahead, and a text is encoded in one
+call with the merges of the same vocabulary.  Texts with any other white space, and
 those that hold an added token such as ``<|endoftext|>``, go to ``tokenizers`` whole.
 """
 
@@ -15,13 +14,12 @@ from array import array
 
 import numpy as np
 
-from .common import Recent
+#: White space other than blanks and line feeds, and what shows that those are not single ones between words.
+_ODD_SPACE = re.compile("[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_RUNS, _ENDS = ("  ", " \n", "\n ", "\n\n"), (" ", "\n")
 
-#: White space that is no single space or line feed between words.
-_ODD_SPACE = re.compile("[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]|[ \\n][ \\n]|[ \\n]\\Z")
-
-#: A fixed value: the byte-level tokenizer's split of a text into units.
-_UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A fixed value: the byte-level tokenizer's split of a text into units, where white space is single.
+_UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"""
 
 
 class ByteTokens:
@@ -36,28 +34,18 @@ class ByteTokens:
         ranks = {bytes(map(byte.__getitem__, piece)): i for piece, i in self.tokenizer.get_vocab().items() if piece not in self.special}
         import tiktoken
 
-        core = tiktoken.Encoding("words", pat_str=_UNITS, mergeable_ranks=ranks, special_tokens={})._core_bpe
-        self.unit, self.units = core.encode_single_piece, core.encode_ordinary
-        self.words = Recent(self._word, 150_000)
+        self.units = tiktoken.Encoding("units", pat_str=_UNITS, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word with the space before it, or of a line feed."""
-        if not word:
-            return b""
-        alone = word.isalpha() or word[0] == " " and word[1:].isalpha()  # one unit of the tokenizer's own split
-        return array("I", self.unit(word.encode()) if alone else self.units(word)).tobytes()
-
     def ids(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if "\x00" in text or _ODD_SPACE.search(text) or self.added.search(text):
+        if _ODD_SPACE.search(text) or text.endswith(_ENDS) or any(x in text for x in _RUNS) or self.added.search(text):
             return self._whole(text)
-        # "a b\nc d" falls into "a", " b", "\n", "c", " d"
-        return b"".join(map(self.words.__getitem__, text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")))
+        return array("I", self.units(text)).tobytes()
 
     def lengths(self) -> np.ndarray:
         """The number of bytes that each id stands for."""

@@ -731,6 +731,16 @@ def random_texts(n):
     return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 14))) for _ in range(n)]
 
 
+def test_byte_tokens_of_single_spaces_are_made_in_one_call():
+    own, whole = (ByteTokens(tokenizer_file("byte_bpe_50k.json")) for _ in range(2))
+    own._whole, calls, units = None, [], own.units
+    own.units = lambda text: calls.append(text) or units(text)
+    texts = ["it's a\x00b\nwe'll 1 2three é ñ'd ٣ 😀 x😀", "a'lls ſ's x'S a\u200bb a \u0301b", " a\n'", "aa" * 5000]
+    assert [own.ids(x) for x in texts] == [whole._whole(x) for x in texts]
+    assert calls == texts
+
+
+
 def test_byte_tokens_equal_the_library(texts):
     own = ByteTokens(BYTES)
     for t in [*random_texts(4000), *texts.values()]:
