@@ -12,13 +12,16 @@
   is fitted, by how near the nearest one is: on the sample, it finds the share ``recall`` of the true neighbours, so
   clustered vectors are read in small part and others as far as they need it.
 
-Lists that grow beyond a block are dealt over blocks, and their queries too,
-so a group has a bounded size.  Equal vectors are one node: of a node only the
+Lists that grow beyond a block are dealt over blocks, and queries over groups of bounded size.
+The blocks are dealt over tasks, where they pass by; a task holds one block's queries and the best of one group,
+so what goes on grows with the queries, not with the lists that each one probes.  Equal vectors are one node: of a node only the
 k + 1 smallest ids can ever be among the k nearest, so copies cost nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,6 +33,8 @@ from .common import Stage
 SAMPLE = 20_000
 MOST_LISTS = 4096
 BLOCK = 1024
+#: Queries whose nearest a task holds at once.
+GROUP = 4096
 #: Vectors of the sample that ask when the ratio is fitted.
 TRIALS = 512
 
@@ -180,6 +185,69 @@ def replicate(g: CentroidGraph, v: np.ndarray, replicas: int, closure: float, be
     return np.array(rows, np.int64), np.array(lists, np.int32)
 
 
+class Best:
+    """The k nearest found so far of each of some queries."""
+
+    def __init__(self, k: int):
+        self.k, self.at, self.found = k, {}, []
+
+    def compare(self, ids: np.ndarray, fs: np.ndarray, q: np.ndarray, node: np.ndarray, f: np.ndarray, p: np.ndarray) -> None:
+        """Queries (ids, fs, q) against postings (node, f, p): what is no farther than a query's k-th is kept, ties to the smaller node."""
+        for i, key in enumerate(zip(ids.tolist(), fs.tolist(), strict=True)):
+            d = np.sqrt(((p - q[i]) ** 2).sum(axis=1))
+            at = self.at.setdefault(key, len(self.found))
+            if at == len(self.found):
+                self.found.append((np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)))
+            score, n, g = self.found[at]
+            near = np.flatnonzero(d <= score[-1]) if len(score) == self.k else np.arange(len(d))
+            if not len(near):
+                continue
+            if len(near) > 4 * self.k:  # all that is no farther than the k-th of these
+                near = near[d[near] <= np.partition(d[near], self.k - 1)[self.k - 1]]
+            score, n, g = np.r_[score, d[near]], np.r_[n, node[near]], np.r_[g, f[near]]
+            order = np.lexsort((g, n, score))
+            score, n, g = score[order], n[order], g[order]
+            new = np.r_[True, (n[1:] != n[:-1]) | (g[1:] != g[:-1])]  # a vector stands in several lists, with one score
+            self.found[at] = tuple(x[new][: self.k] for x in (score, n, g))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        keys = list(self.at)
+        for k0 in range(0, len(keys), 1024):
+            own = [self.found[self.at[key]] for key in keys[k0 : k0 + 1024]]
+            n = [len(score) for score, *_ in own]
+            asks = [np.repeat(np.array([key[j] for key in keys[k0 : k0 + 1024]], np.int64), n) for j in range(2)]
+            score, node, f = (np.concatenate(x) for x in zip(*own, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*asks, node, f, score)], ["query", "query_f", "node", "f1", "score"])
+
+
+def nearest_of_task(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Of each query in a task the k nearest of all postings it meets there.
+
+    Rows (q, list, b, its, node, f1, v) in the order of the first four: of each block the queries
+    (its is false) and then the postings, which pass by. What is held are one block's queries and the best
+    of one group q of queries.
+    """
+    group, block, best, asks = None, None, Best(k), []
+    for whole in batches:
+        cols = [whole.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+        edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols[:4]], axis=0)) + 1 if whole.num_rows > 1 else np.zeros(0, np.int64)
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), whole.num_rows], strict=True):
+            if lo == hi:
+                continue
+            if cols[0][lo] != group:
+                yield from best.rows()
+                group, best = cols[0][lo], Best(k)
+            if (now := tuple(c[lo] for c in cols[:3])) != block:
+                block, asks = now, []
+            part = cols[4][lo:hi], cols[5][lo:hi], _matrix(whole.column(6).slice(lo, hi - lo))
+            if not cols[3][lo]:
+                asks.append(part)
+                continue
+            for own in asks:
+                best.compare(*own, *part)
+    yield from best.rows()
+
+
 class FittedRatio:
     """A ratio for each of some classes of queries, by the distance of their nearest centroid: dense parts need larger ones.
 
@@ -310,29 +378,19 @@ def _nearest(usable: DataFrame, stage: Stage, queries, k: int, list_size: int, r
     probing = stage.write(nodes.join(asking.select("node", "f1").distinct(), ["node", "f1"], "left_semi").select("node", "f1", "v").mapInArrow(choose, posting), "probing")
 
     # blocks of lists and of their queries: groups of bounded size
-    blocks = lambda df, name: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))  # noqa: E731  most_lists rows
-    sizes = F.broadcast(blocks(postings, "nb").join(blocks(probing, "nq"), "list"))
-    deal = lambda n: F.pmod(F.xxhash64("node", "f1"), F.col(n)).cast("int")
-    held = postings.join(sizes, "list").withColumn("b", deal("nb")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-    asks = probing.join(sizes, "list").withColumn("q", deal("nq")).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-
-    def compare(asks: pa.Table, held: pa.Table) -> pa.Table:
-        out: tuple[list, ...] = ([], [], [], [], [])
-        if asks.num_rows and held.num_rows:
-            q, p = (_matrix(t.column("v").combine_chunks()) for t in (asks, held))
-            (qid, qf), (pid, pf) = ((t.column("node").to_numpy(), t.column("f1").to_numpy()) for t in (asks, held))
-            order = np.lexsort((pf, pid))
-            p, pid, pf = p[order], pid[order], pf[order]
-            for i in range(len(q)):
-                d = np.sqrt(((p - q[i]) ** 2).sum(axis=1))
-                near = np.argsort(d, kind="stable")[: k + 1]
-                for col, v in zip(out, (np.full(len(near), qid[i]), np.full(len(near), qf[i]), pid[near], pf[near], d[near]), strict=True):
-                    col.append(v)
-        cols = [np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, (np.int64, np.int64, np.int64, np.int64, np.float64), strict=True)]
-        return pa.table(dict(zip(("query", "query_f", "node", "f1", "score"), cols, strict=True)))
-
-    block = ("list", "b", "q")
-    near = asks.select(*block, "node", "f1", "v").groupBy(*block).cogroup(held.select(*block, "node", "f1", "v").groupBy(*block)).applyInArrow(compare, "query long, query_f long, node long, f1 long, score double")
+    blocks = lambda df, name, size: df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))  # noqa: E731  most_lists rows
+    groups = -(-asking.count() // GROUP) or 1
+    deal = lambda n: F.pmod(F.xxhash64("node", "f1"), n).cast("int")
+    grouped = probing.withColumn("q", deal(F.lit(groups)))
+    own = grouped.groupBy("list").agg(F.collect_set("q").alias("own"))
+    sizes = F.broadcast(blocks(postings, "nb", BLOCK).join(own, "list"))
+    held = postings.join(sizes, "list").withColumn("b", deal(F.col("nb"))).withColumn("q", F.explode("own"))
+    asks = grouped.join(sizes, "list").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    block = ["q", "list", "b"]
+    both = asks.select(*block, F.lit(False).alias("its"), "node", "f1", "v").unionByName(held.select(*block, F.lit(True).alias("its"), "node", "f1", "v"))
+    # a task tells k + 1 of each query at most, however many lists it meets there
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near = both.repartition(tasks, *block).sortWithinPartitions(*block, "its").mapInArrow(lambda batches: nearest_of_task(batches, k + 1), "query long, query_f long, node long, f1 long, score double")
     asker = Window.partitionBy("query", "query_f")
     found = near.distinct().withColumn("r", F.row_number().over(asker.orderBy("score", "node", "f1"))).where(F.col("r") <= k + 1)
     # a node's smallest ids; the k + 1 best ids of each asking vector; then each query without its own row

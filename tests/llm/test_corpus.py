@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -411,6 +412,21 @@ def test_neighbours(spark):
     assert hit / len(got) >= 0.9
 
 
+def test_a_task_tells_the_best_of_all_its_lists_once():
+    rng = np.random.default_rng(3)
+    p = rng.integers(0, 4, (300, 3)).astype(float)  # many ties
+    rows = [(g, n, 0, False, 1000 + q, q % 2, [float(q % 4), 1.0, 2.0]) for g in range(2) for n in range(6) for q in range(g * 5, g * 5 + 5)]
+    rows += [(g, n, 0, True, i, i % 3, p[i].tolist()) for g in range(2) for n in range(6) for i in range(300) if i % 6 == n or i % 5 == n]  # some in two lists
+    rows.sort(key=lambda r: r[:4])
+    table = pa.table(dict(zip(("q", "list", "b", "its", "node", "f1", "v"), map(list, zip(*rows, strict=True)), strict=True)))
+    got = [tuple(r.values()) for b in neighbours.nearest_of_task(iter(table.to_batches(max_chunksize=37)), 4) for r in b.to_pylist()]
+    want = []
+    for q in range(10):
+        d = np.sqrt(((p - np.array([q % 4, 1, 2])) ** 2).sum(axis=1))
+        want += [(1000 + q, q % 2, i, i % 3, d[i]) for i in sorted(range(300), key=lambda i: (d[i], i))[:4]]
+    assert got == want
+
+
 def test_neighbours_of_awkward_vectors(spark):
     rows = [(0, [1.0, 0.0])] + [(i, [1.0, 1.0]) for i in range(1, 40)] + [(100, [0.0, 0.0]), (101, None), (102, [1.0, float("nan")]), (103, [1.0, None]), (None, [1.0, 2.0]), (104, [1.0, 2.0, 3.0]), (0, [1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
