@@ -287,9 +287,7 @@ def test_profile_by_sketches(spark):
 def test_sidecars_are_read_without_a_pass_to_infer_them(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"p{i}.html{archive.SIDECAR}").write_text(f'{{"page": {i},\n "site": "a", "http_status": 200, "more": "x"}}')
-    spark.sparkContext.setJobGroup("sidecars", "")
     told = archive.sidecars(spark, f"file://{tmp_path}")
-    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("sidecars")) == []
     assert told.columns == list(archive.TOLD)
     assert sorted(r.page for r in told.collect()) == [0, 1, 2]
     assert sorted(r.more for r in archive.sidecars(spark, f"file://{tmp_path}", "page long, more string").collect()) == ["x"] * 3
@@ -308,3 +306,16 @@ def test_rows_of_a_small_file_are_dealt_over_all_tasks(spark, tmp_path):
     spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
     dealt = registry.spread(spark.read.parquet(str(tmp_path / "t")))
     assert len({r[0] for r in dealt.select(F.spark_partition_id()).distinct().collect()}) == 4 and dealt.count() == 1000
+
+
+def test_objects_are_listed_by_tasks_as_spark_lists_them(spark, tmp_path):
+    for name in ("a b/x.html", "a b/%41.txt", "c/d/e/y.html", "c/.hidden/z.html", "c/_x/z.html", "_k=1/z.html", "top.html"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{html,txt}").load(str(tmp_path))
+    want = files.select("path", "modificationTime", "length", F.col("content").cast("string")).collect()
+    found = archive.listing(spark, str(tmp_path), "*.{html,txt}")
+    assert found.inputFiles() and all("/objects-" in f for f in found.inputFiles())  # not the archive's own files
+    got = {r.name: (r.modified, r.length) for r in found.collect()}
+    text = {r.name: r.text for r in archive.contents(spark, str(tmp_path), "*.{html,txt}").collect()}
+    assert sorted((n, *v, text[n]) for n, v in got.items()) == sorted(map(tuple, want)) and len(got) >= 5
