@@ -31,6 +31,7 @@ batches hold, and adds the batch.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Grams, Stage, hadoop_path, join_counted, map_batches, table_bytes, word_hashes, word_list
+from .common import LAST_ID, Grams, Stage, hadoop_path, join_counted, let_go, map_batches, table_bytes, word_hashes, word_list
 
 CONTEXT = ["anchor", "context", "check"]
 #: Tables up to this many bytes on disk are broadcast; larger ones are joined by a shuffle.
@@ -178,21 +179,32 @@ class FingerprintIndex:
         self.spark.sql(f"CREATE TABLE {name} ({self.schema}) USING parquet CLUSTERED BY (anchor) SORTED BY (anchor, context, check) INTO {buckets} BUCKETS LOCATION '{folder}'")
         return self.spark.table(name), name, folder
 
-    def add(self, contexts: DataFrame) -> None:
-        self._write(contexts)
+    def add(self, contexts: DataFrame, stage: Stage | None = None) -> None:
+        """stage: where contexts are staged; they go as soon as they are a run, before runs are compacted."""
+        self._write(self._dealt(contexts))
+        if stage is not None:
+            stage.drop(contexts)
         if len(self.runs) >= self.fan:
             self.compact()
 
-    def _write(self, contexts: DataFrame) -> None:
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.columns).repartition(self.buckets, "anchor")
+
+    def _write(self, rows: DataFrame) -> None:
+        """rows: dealt by anchor."""
         number, self.next = self.next, self.next + 1
         folder, name = f"{self.root}/run-{number:06d}-{self.buckets}", f"fingerprints_{uuid.uuid4().hex[:12]}"
-        rows = contexts.select(*self.columns).repartition(self.buckets, "anchor")
         rows.write.format("parquet").bucketBy(self.buckets, "anchor").sortBy(*CONTEXT).option("path", folder).saveAsTable(name)
+        let_go(self.spark)
         self.runs.append((number, self.spark.table(name), name, folder))
 
+    def merged(self) -> DataFrame:
+        """All runs as one: the shuffle by anchor serves the grouping and the buckets."""
+        return first_holders(self._dealt(self.read()), self.windows)
+
     def compact(self) -> None:
         old = list(self.runs)
-        self._write(first_holders(self.read(), self.windows))
+        self._write(self.merged())
         self.runs = self.runs[len(old) :]
         for *_, name, folder in old:
             self.spark.sql(f"DROP TABLE {name}")
@@ -225,21 +237,28 @@ def first_holders(df: DataFrame, windows: bool = False) -> DataFrame:
     return df.groupBy(*CONTEXT).agg(F.min("first").alias("first"), *([F.min("windows").alias("windows")] if windows else []))
 
 
-def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """doc, key, lo, end of what earlier documents hold of a batch's segments; the batch then joins the index.
+def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """doc, key, lo, end of what earlier documents hold of a batch's segments; and the batch's contexts, for the index.
 
     texts (doc, key, text, new) has the batch (new) and, unless the index keeps windows, all that is indexed.
+    The shuffle files of a step go when it is done, so that those of a batch do not add up.
     """
+
+    def write(df: DataFrame, label: str) -> DataFrame:
+        out = stage.write(df, label)
+        let_go(stage.spark)
+        return out
+
     first, kept = F.struct("doc", "key", "lo", "hi"), [F.min("windows").alias("windows")] if index.windows else []
-    new = stage.write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), *kept), "contexts")
+    new = write(own.groupBy(*CONTEXT).agg(F.min(first).alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), *kept), "contexts")
     fresh = new.select(*CONTEXT, "first", "n", F.lit(True).alias("fresh"), (F.col("last") > F.col("first.doc")).alias("again"))
     known, old = fresh, None
     if index.runs:  # the merge-join of the batch with the runs
-        old = stage.write(index.held(new.select("anchor").distinct()), "old")
+        old = write(index.held(new.select("anchor").distinct()), "old")
         known = fresh.unionByName(old.select(*CONTEXT, "first", F.lit(0).cast("long").alias("n"), F.lit(False).alias("fresh"), F.lit(True).alias("again")))
     # 1. whole segments that an earlier document holds; n: how many segments of the batch have the context
     holders = known.groupBy(*CONTEXT).agg(F.min("first.doc").alias("holder"), F.max("n").alias("n"), F.max("again").alias("again")).where("again AND n > 0").drop("again")
-    holders = stage.write(holders, "holders")
+    holders = write(holders, "holders")
     whole = join_counted(own, holders, CONTEXT).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("hi") + window).alias("end"))
     # 2. windows, where an anchor has several contexts in several documents
     open_anchors = (
@@ -248,17 +267,16 @@ def _found_in_batch(stage: Stage, index: FingerprintIndex, own: DataFrame, texts
         .where("fresh AND a <> b AND d < e")
         .select("anchor")
     )
-    lists = stage.write(first_holders(known.join(open_anchors, "anchor", "left_semi")).groupBy("first.doc", "first.key").agg(F.collect_list(F.struct("first.lo", "first.hi")).alias("spans")), "open")
+    lists = write(first_holders(known.join(open_anchors, "anchor", "left_semi")).groupBy("first.doc", "first.key").agg(F.collect_list(F.struct("first.lo", "first.hi")).alias("spans")), "open")
     found = _windows(texts.join(small_side(lists), ["doc", "key"]), window)
     if index.windows and old is not None:
         found = found.unionByName(_stored_windows(first_holders(old, True).join(open_anchors, "anchor", "left_semi")))
-    windows = stage.write(found, "windows")
-    twice = stage.write(windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("holder < last").drop("last"), "twice")
+    windows = write(found, "windows")
+    twice = write(windows.groupBy("w1", "w2").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("holder < last").drop("last"), "twice")
     single = join_counted(windows.where("new"), twice, ["w1", "w2"]).where(F.col("holder") < F.col("doc")).select("doc", "key", "lo", (F.col("lo") + window).alias("end"))
-    spans = stage.write(whole.unionByName(single), "spans")
-    index.add(new)
-    stage.drop(lists, windows, twice, holders, new, *([old] if old is not None else []))
-    return spans
+    spans = write(whole.unionByName(single), "spans")
+    stage.drop(lists, windows, twice, holders, *([old] if old is not None else []))
+    return spans, new
 
 
 def _by_row(spans: DataFrame, stage: Stage) -> DataFrame:
@@ -269,20 +287,28 @@ def _by_row(spans: DataFrame, stage: Stage) -> DataFrame:
 def removed_spans(docs: DataFrame, window: int = 50, gram: int = 25, batches: int = 3, fan: int = 2) -> DataFrame:
     """doc, key, spans: the spans of words to remove from each row that has any; spans may overlap."""
     stage = Stage(docs.sparkSession, "substrings")
-    index = FingerprintIndex(docs.sparkSession, f"{stage.root}/index", fan, windows=False)  # all texts are at hand
+    root = f"{stage.root}/index"
+    index = FingerprintIndex(docs.sparkSession, root, fan, windows=False)  # all texts are at hand
     edges = docs.select(F.percentile_approx(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), [i / batches for i in range(1, batches)], 1000)).first()[0] or [] if batches > 1 else []
     edges = sorted(set(edges))
     batch_of = F.aggregate(F.array(*map(F.lit, edges)), F.lit(0), lambda acc, e: acc + F.when(F.col("doc") > e, 1).otherwise(0)) if edges else F.lit(0)
     found = stage.write_by(segments(docs, window, gram).withColumn("batch", batch_of), "segments", "batch")
-    out = None
+    parts = []
     for b in range(len(edges) + 1):
         texts = _numbered(docs).withColumn("new", F.col("doc") > edges[b - 1] if b else F.lit(True))
-        spans = _found_in_batch(stage, index, found.where(F.col("batch") == b).drop("batch"), texts, window)
-        out = spans if out is None else out.unionByName(spans)
+        spans, new = _found_in_batch(stage, index, found.where(F.col("batch") == b).drop("batch"), texts, window)
+        parts.append(spans)
         stage.drop_part(found, f"batch={b}")
-    stage.drop(found)
+        if b < len(edges):
+            index.add(new, stage)
+        else:  # the index goes with the call: nothing looks for the last batch in it
+            stage.drop(new)
     index.close()
-    return _by_row(out, stage)
+    path, files = hadoop_path(docs.sparkSession, root)
+    files.delete(path, True)
+    out = _by_row(reduce(DataFrame.unionByName, parts), stage)
+    stage.drop(found, *parts)
+    return out
 
 
 def dedup_batch(docs: DataFrame, index: FingerprintIndex, history: DataFrame | None = None, window: int = 50, gram: int = 25) -> DataFrame:
@@ -300,9 +326,12 @@ def dedup_batch(docs: DataFrame, index: FingerprintIndex, history: DataFrame | N
     if history is not None and not index.windows:
         texts = texts.unionByName(_numbered(history).withColumn("new", F.lit(False)))
     own = stage.write(segments(docs, window, gram, index.windows), "segments")
-    spans = _found_in_batch(stage, index, own, texts, window)
+    spans, new = _found_in_batch(stage, index, own, texts, window)
     stage.drop(own)
-    return _without(docs, _by_row(spans, stage))
+    index.add(new, stage)
+    out = _by_row(spans, stage)
+    stage.drop(spans)
+    return _without(docs, out)
 
 
 def dedup(docs: DataFrame, window: int = 50, gram: int = 25, batches: int = 3) -> DataFrame:

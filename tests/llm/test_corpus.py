@@ -4,8 +4,10 @@ import collections
 import functools
 import hashlib
 import math
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -17,6 +19,7 @@ from tokenizers import Tokenizer
 
 from merchlake.llm import graded_quality, languages, line_runs, near_duplicates, neighbours, packing, piece_tokens, quality_rules, substrings, token_counts
 from merchlake.llm.byte_tokens import ByteTokens
+from merchlake.llm.common import Stage
 from merchlake.llm.queries import tokenizer_file
 
 DATA = "/root/testdata/sf0.001"
@@ -324,6 +327,48 @@ def test_runs_are_joined_where_they_lie(spark, tmp_path):
     index.close()
 
 
+def test_steps_of_substrings_leave_no_disk_behind(spark, monkeypatch):
+    rows = [(i, f"a{i} " + words_of(90, 20 * i) + f" z{i}") for i in range(30)]
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in manager.getAllFiles().mkString(" ").split() if "/shuffle_" in f}
+    staged = lambda root: sorted(f.split("-", 1)[-1] for f in os.listdir(root.removeprefix("file://")))
+    before, held, merging, roots = shuffles(), {}, [], set()
+    write, compact = Stage.write_by, substrings.FingerprintIndex.compact
+
+    def watch(self, df, label, *folders):
+        end = time.time() + 5  # Spark removes them in the background
+        while label in ("contexts", "old", "holders", "windows", "twice", "removed") and (left := shuffles() - before):
+            if time.time() > end:
+                held[label] = len(left)
+                break
+            time.sleep(0.05)
+        roots.add(self.root)
+        return write(self, df, label, *folders)
+
+    def watch_index(self):
+        merging.append(staged(self.root + "/.."))
+        compact(self)
+
+    monkeypatch.setattr(Stage, "write_by", watch)
+    monkeypatch.setattr(substrings.FingerprintIndex, "compact", watch_index)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == removed(dict(rows), 50)
+    assert not held  # shuffle files of the steps before; open and spans come after a count of rows, which is small
+    assert merging == [["index", "segments", "spans", "spans"]]  # and the last batch's run is for nobody
+    assert [staged(r) for r in roots] == [["removed"]]
+
+
+def test_runs_are_merged_in_one_shuffle(spark, tmp_path):
+    index = substrings.FingerprintIndex(spark, f"file://{tmp_path}/index", fan=9, buckets=3, windows=False)
+    for last in (300, 200):
+        index.add(spark.range(last).selectExpr("id AS anchor", "id AS context", "id AS check", f"named_struct('doc', id - {last}, 'key', id, 'lo', 1, 'hi', 2) AS first"))
+    plan = index.merged()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    index.compact()
+    assert {r.anchor: r.first.doc for r in index.read().collect()} == {i: i - 300 for i in range(300)}
+    index.close()
+
+
 def test_substrings_of_awkward_rows(awkward, nothing):
     rows = substrings.dedup(awkward).collect()
     assert len(rows) == len(AWKWARD)
