@@ -59,7 +59,10 @@ def _objects(spark: SparkSession, root: str, pattern: str) -> tuple[DataFrame, s
 
 
 def _read(objects: DataFrame, root: str) -> DataFrame:
-    """Adds the content of objects; each task reads its own, and hands on some megabytes at a time."""
+    """Adds the content of objects; each task reads its own, and hands on some megabytes at a time.
+
+    Spark's estimate of the result knows nothing of the contents, however long they are: the hint keeps joins from broadcasting them.
+    """
     spark = objects.sparkSession
     size = objects.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (64 << 20)))
@@ -78,7 +81,7 @@ def _read(objects: DataFrame, root: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, pa.binary())], [*part.schema.names, "content"])
                     begin, held, total = i + 1, [], 0
 
-    return objects.repartition(tasks, "name").mapInArrow(read, "name string, modified timestamp, length long, content binary")
+    return objects.repartition(tasks, "name").mapInArrow(read, "name string, modified timestamp, length long, content binary").hint("merge")
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

@@ -319,3 +319,13 @@ def test_objects_are_listed_by_tasks_as_spark_lists_them(spark, tmp_path):
     got = {r.name: (r.modified, r.length) for r in found.collect()}
     text = {r.name: r.text for r in archive.contents(spark, str(tmp_path), "*.{html,txt}").collect()}
     assert sorted((n, *v, text[n]) for n, v in got.items()) == sorted(map(tuple, want)) and len(got) >= 5
+
+
+def test_contents_are_not_broadcast(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"p{i}.html").write_text(f"{i}" * 100_000)
+    root = f"file://{tmp_path}"
+    found = archive.listing(spark, root, "*.html").select("name", "length")
+    for joined in (found.join(archive.contents(spark, root, "*.html").select("name", "text"), "name"), archive.contents(spark, root, "*.html").join(found, "name", "left")):
+        assert sorted((r.length, len(r.text), r.text[0]) for r in joined.collect()) == [(100_000, 100_000, c) for c in "012"]
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
