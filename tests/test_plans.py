@@ -3,12 +3,13 @@
 import datetime as dt
 import gzip
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from merchlake.operators import reports, rows, upserts
-from merchlake.plans import history, mapping
+from merchlake.plans import history, mapping, queries
 from merchlake.plans import price_drops as drops
 from merchlake.sources import archive, records, tables, web
 
@@ -329,3 +330,10 @@ def test_contents_are_not_broadcast(spark, tmp_path):
     for joined in (found.join(archive.contents(spark, root, "*.html").select("name", "text"), "name"), archive.contents(spark, root, "*.html").join(found, "name", "left")):
         assert sorted((r.length, len(r.text), r.text[0]) for r in joined.collect()) == [(100_000, 100_000, c) for c in "012"]
         assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_round_trip_joins_texts_last_and_broadcasts_nothing(spark, tmp_path):
+    spark.createDataFrame([(i, "u", f"{i}" * 50_000) for i in range(3)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    out = queries.archive_round_trip(spark, str(tmp_path))
+    assert sorted((r.page_id, r.page, r.text) for r in out.collect()) == [(i, 0, f"{i}" * 50_000) for i in range(3)]
+    assert re.findall(r"(\w+)Join \[(\w+)#", out._jdf.queryExecution().executedPlan().toString())[:2] == [("SortMerge", "name"), ("SortMerge", "content_hash")]
